@@ -1,0 +1,56 @@
+"""Run a registered query and its SQL, and compare names, types and rows."""
+
+from __future__ import annotations
+
+import datetime
+import math
+from pathlib import Path
+
+import duckdb
+
+TABLES = ("documents", "labels", "pages", "events")
+
+SPARK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
+def run_sql(sql: str, sf_dir: str) -> tuple[dict[str, str], list[tuple]]:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from read_parquet('{Path(sf_dir)}/{name}.parquet')")
+    connection.execute(sql)
+    types = {d[0]: str(d[1]) for d in connection.description}
+    order = sorted(range(len(types)), key=list(types).__getitem__)
+    rows = [tuple(row[i] for i in order) for row in connection.fetchall()]
+    return {name: types[name] for name in sorted(types)}, sorted(rows, key=_sort_key)
+
+
+def run_query(df) -> tuple[dict[str, str], list[tuple]]:
+    names = sorted(df.columns)
+    types = {item.name: SPARK_TYPES.get(item.dataType.simpleString(), item.dataType.simpleString()) for item in df.schema}
+    rows = [tuple(row[name] for name in names) for row in df.collect()]
+    return {name: types[name] for name in names}, sorted(rows, key=_sort_key)
+
+
+def _sort_key(row: tuple) -> tuple:
+    return tuple((value is not None, str(value)) for value in row)
+
+
+def same_rows(left: list[tuple], right: list[tuple]) -> bool:
+    return len(left) == len(right) and all(
+        len(a) == len(b) and all(_same(x, y) for x, y in zip(a, b)) for a, b in zip(left, right)
+    )
+
+
+def _same(x, y) -> bool:
+    if isinstance(x, float) and isinstance(y, float):
+        return math.isclose(x, y, abs_tol=1e-9)
+    if isinstance(x, datetime.date) and isinstance(y, datetime.date):
+        return x == y
+    return type(x) is type(y) and x == y
