@@ -7,6 +7,7 @@ reduced to a flag. Queries that write use a fresh folder under the shared one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from huntlake.streaming.fanout import fan_out
 NAMESPACE = "huntlake_checks"
 MESSAGE_SCHEMA = "value binary, topic string, partition int, offset bigint"
 PART_VALUES = 16
+SILVER_TABLES = (*(route.table for route in rules.ROUTES), events.WIDE_TABLE)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,17 +357,21 @@ def bronze_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze table to all silver tables, counted per table and day."""
     bronze = files.read_table(spark, write_bronze(spark, sf_dir, "silver_from_bronze"))
-    counts = None
-    for table, frame in events.silver_tables(bronze, rules.ROUTES).items():
-        name, path = fresh_table(spark, f"batch_{table}")
-        tables.append_table(frame, name, "silver", ["_event_date"], path=path, balanced=True)
-        count = _counts_by_day(files.read_table(spark, name), table)
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+    for table in SILVER_TABLES:
+        fresh_table(spark, table)
+    events.append_silver(bronze, NAMESPACE, path=fresh_folder(spark, "silver_from_bronze"), bloom=True)
+    return silver_counts(spark)
 
 
-def _counts_by_day(df: DataFrame, table: str) -> DataFrame:
-    return df.groupBy("_event_date").agg(F.count("*").alias("events")).withColumn("silver_table", F.lit(table))
+def silver_counts(spark: SparkSession) -> DataFrame:
+    counts = [
+        files.read_table(spark, f"{NAMESPACE}.{table}")
+        .groupBy("_event_date")
+        .agg(F.count("*").alias("events"))
+        .withColumn("silver_table", F.lit(table))
+        for table in SILVER_TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @register
@@ -415,22 +421,17 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, root = message_stream(spark, sf_dir, "stream_fanout")
-    names = [*(route.table for route in rules.ROUTES), events.WIDE_TABLE]
-    for name in names:
-        fresh_table(spark, name)
+    for table in SILVER_TABLES:
+        fresh_table(spark, table)
     fan_out(
         events.bronze_events(messages, inputs.payload_schema(spark, sf_dir)),
-        lambda bronze: events.silver_tables(bronze, rules.ROUTES),
+        events.silver_tables,
         NAMESPACE,
         "stream_fanout",
         checkpoint_root=root,
         path=f"{root}/tables",
     ).awaitTermination()
-    counts = None
-    for name in names:
-        count = _counts_by_day(files.read_table(spark, f"{NAMESPACE}.{name}"), name)
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+    return silver_counts(spark)
 
 
 # --- layout ------------------------------------------------------------------
@@ -451,6 +452,6 @@ def bloom_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = events.route_table(inputs.flat(spark, sf_dir), rules.PROCESS)
     options = layout.bloom_options(rules.PROCESS.bloom_columns)
     tables.append_table(
-        table, name, "silver", rules.PROCESS.partition_columns, path=path, balanced=True, options=options
+        table, name, "silver", events.SILVER_PARTITIONS, path=path, balanced=True, options=options
     )
     return files.read_table(spark, name)

@@ -1,4 +1,4 @@
 from huntlake.functions.entropy import shannon_entropy
-from huntlake.functions.names import column_lookup, field, quoted
+from huntlake.functions.names import aliased, column_lookup, field, quoted, text_literal
 
-__all__ = ["column_lookup", "field", "quoted", "shannon_entropy"]
+__all__ = ["aliased", "column_lookup", "field", "quoted", "shannon_entropy", "text_literal"]

@@ -13,9 +13,8 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from huntlake.functions.names import column_lookup, field
+from huntlake.functions.names import aliased, column_lookup, quoted, text_literal
 
 # Fixed value: the text that stands in a target whose source column does not exist.
 MISSING_TEXT = "null"
@@ -79,31 +78,34 @@ def apply_rules(df: DataFrame, rules: Iterable[Rule], missing: str | None = MISS
     if repeated:
         raise ValueError(f"targets with more than one rule: {repeated}")
 
-    actual = column_lookup(df)
+    names = df.columns
+    actual = column_lookup(df.sparkSession, names)
     plain = {}
     expressions = {}
     for rule in rules:
         if isinstance(rule, Expression):
-            expressions[rule.target] = F.expr(rule.sql)
+            expressions[rule.target] = f"{rule.sql} AS {quoted(rule.target)}"
         elif isinstance(rule, Literal):
-            plain[rule.target] = F.lit(rule.text)
+            plain[rule.target] = _constant(rule.target, rule.text)
+        elif (source := actual(rule.source)) is None:
+            plain[rule.target] = _constant(rule.target, missing)
         else:
-            source = actual(rule.source)
-            plain[rule.target] = F.lit(missing).cast("string") if source is None else field(source)
-
-    replaced = {actual(name) for name in plain}
-    others = [field(name) for name in df.columns if name not in replaced]
-    staged = df.select(*others, *(column.alias(name) for name, column in plain.items()))
-    return staged.select(
-        *(
-            expressions[name].alias(name) if name in expressions else field(name)
-            for name in sorted([*plain, *expressions])
-        )
+            plain[rule.target] = aliased(rule.target, source)
+
+    replaced = {actual(target) for target in plain}
+    others = [quoted(name) for name in names if name not in replaced]
+    staged = df.selectExpr(*others, *plain.values())
+    return staged.selectExpr(
+        *(expressions.get(target) or quoted(target) for target in sorted([*plain, *expressions]))
     )
 
 
 def fill_missing(df: DataFrame, sources: Iterable[str], missing: str | None = MISSING_TEXT) -> DataFrame:
     """Add each absent source column, holding ``missing``."""
-    actual = column_lookup(df)
+    actual = column_lookup(df.sparkSession, df.columns)
     absent = [name for name in dict.fromkeys(sources) if actual(name) is None]
-    return df.select("*", *(F.lit(missing).cast("string").alias(name) for name in absent))
+    return df.selectExpr("*", *(_constant(name, missing) for name in absent))
+
+
+def _constant(target: str, text: str | None) -> str:
+    return f"{text_literal(text)} AS {quoted(target)}"

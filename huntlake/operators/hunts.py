@@ -42,8 +42,12 @@ def issuer_values(certs: DataFrame) -> DataFrame:
     tasks, and copies are removed before the shuffle. A NULL value stands for
     "some certificate lacks the field".
     """
-    named = certs.filter(F.col("issuer").isNotNull()).select("issuer", *ISSUER_SETS)
-    return named.unpivot("issuer", list(ISSUER_SETS), "field", "value").distinct()
+    pairs = [part for name in ISSUER_SETS for part in (F.lit(name), F.col(name))]
+    return (
+        certs.filter(F.col("issuer").isNotNull())
+        .select("issuer", F.stack(F.lit(len(ISSUER_SETS)), *pairs).alias("field", "value"))
+        .distinct()
+    )
 
 
 def unique_issuers(certs: DataFrame, set_row_values: int = SET_ROW_VALUES) -> DataFrame:
@@ -71,7 +75,9 @@ def unique_issuers(certs: DataFrame, set_row_values: int = SET_ROW_VALUES) -> Da
         "field",
         "value",
     )
-    return parted.groupBy("issuer", "part").agg(
+    # The join may leave the rows partitioned by issuer alone, which would satisfy the grouping
+    # and bring a large issuer back to one task; so they are partitioned by both keys here.
+    return parted.repartition("issuer", "part").groupBy("issuer", "part").agg(
         *(
             F.sort_array(F.collect_list(F.when(F.col("field") == name, F.col("value")))).alias(name)
             for name in ISSUER_SETS

@@ -10,7 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huntlake.functions.names import field, quoted
+from huntlake.functions.names import field, quoted, text_literal
 
 # Fixed value: accepted share of false positives in a bloom filter.
 BLOOM_FALSE_POSITIVES = 0.1
@@ -95,7 +95,7 @@ def optimize_table(
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
     for row in spark.sql(f"SHOW PARTITIONS {name}").collect() if partition_by else ():
         spec, holds = _partition_spec(row["partition"])
-        if where is None or spark.range(1).select(*holds).filter(where).count():
+        if where is None or spark.range(1).selectExpr(*holds).filter(where).count():
             spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{target}/{row['partition']}'")
     spark.catalog.refreshTable(name)
     return target
@@ -141,13 +141,12 @@ def _interleave(buckets: list[Column], bits: int) -> Column:
     return key
 
 
-def _partition_spec(path: str) -> tuple[str, list[Column]]:
-    """SQL partition spec and literal columns for ``a=1/b=x``."""
+def _partition_spec(path: str) -> tuple[str, list[str]]:
+    """SQL partition spec for ``a=1/b=x``, and the same values as SQL columns."""
     spec, columns = [], []
     for part in path.split("/"):
         name, _, value = (unquote(text) for text in part.partition("="))
         absent = value == HIVE_NULL
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        spec.append(f"{quoted(name)} = " + ("null" if absent else f"'{escaped}'"))
-        columns.append(F.lit(None if absent else value).alias(name))
+        spec.append(f"{quoted(name)} = " + ("null" if absent else text_literal(value)))
+        columns.append(f"{text_literal(None if absent else value)} AS {quoted(name)}")
     return ", ".join(spec), columns

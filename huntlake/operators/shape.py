@@ -6,22 +6,21 @@ from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from huntlake.functions.names import field
+from huntlake.functions.names import aliased, quoted
 
 SEPARATOR = ":"
 
 
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*(field(name).alias(prefix + name) for name in df.columns))
+    return df.selectExpr(*(aliased(prefix + name, name) for name in df.columns))
 
 
 def split_lines(df: DataFrame, column: str = "message") -> DataFrame:
     """Replace a text column by the array of its lines, as the last column."""
-    others = [field(name) for name in df.columns if name != column]
-    return df.select(*others, F.split(field(column), "\n").alias(column))
+    others = [quoted(name) for name in df.columns if name != column]
+    return df.selectExpr(*others, f"split({quoted(column)}, '\n') AS {quoted(column)}")
 
 
 def leaf_paths(schema: StructType, parents: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
@@ -47,11 +46,11 @@ def flatten(df: DataFrame) -> DataFrame:
     narrower projection on top still reaches the nested fields in the files.
     """
     paths = list(leaf_paths(df.schema))
-    names = Counter(SEPARATOR.join(path) for path in paths)
-    clashes = sorted(name for name, uses in names.items() if uses > 1)
+    uses = Counter(SEPARATOR.join(path) for path in paths)
+    clashes = sorted(name for name, count in uses.items() if count > 1)
     if clashes:
         raise ValueError(f"flattened names clash: {clashes}")
-    return df.select(*(field(*path).alias(SEPARATOR.join(path)) for path in paths))
+    return df.selectExpr(*(aliased(SEPARATOR.join(path), *path) for path in paths))
 
 
 def flatten_events(bronze: DataFrame) -> DataFrame:

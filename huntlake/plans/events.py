@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -9,13 +11,16 @@ from pyspark.sql.types import StringType, StructType
 from huntlake.functions.names import field
 from huntlake.operators.cim import MISSING_TEXT, apply_rules
 from huntlake.operators.ingest import add_ingest_time, promote_event_fields
+from huntlake.operators.layout import bloom_options
 from huntlake.operators.shape import flatten_events
-from huntlake.plans.rules import EVENT_ID, SYSMON_CHANNEL, Route
+from huntlake.plans.rules import EVENT_ID, ROUTES, SYSMON_CHANNEL, Route
+from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel
+from huntlake.sinks.tables import append_table
 from huntlake.sources.payload import decode_json, drop_corrupt, message_text
 
 BRONZE_PARTITIONS = ("_event_date", "_sourcetype")
 WIDE_TABLE = "all_silver"
-WIDE_PARTITIONS = ("_event_date",)
+SILVER_PARTITIONS = ("_event_date",)
 WIDE_BLOOM_COLUMNS = ("_sourcetype",)
 WIDE_CLUSTER_COLUMNS = ("event_id",)
 
@@ -49,7 +54,7 @@ def wide_table(flat_events: DataFrame) -> DataFrame:
     return flat_events.withColumnRenamed(EVENT_ID, "event_id")
 
 
-def silver_tables(bronze: DataFrame, routes: tuple[Route, ...]) -> dict[str, DataFrame]:
+def silver_tables(bronze: DataFrame, routes: tuple[Route, ...] = ROUTES) -> dict[str, DataFrame]:
     """Every silver table of a bronze frame, by table name.
 
     Each one reads bronze on its own: with bronze in columnar files partitioned
@@ -59,3 +64,36 @@ def silver_tables(bronze: DataFrame, routes: tuple[Route, ...]) -> dict[str, Dat
     """
     flat = flatten_events(bronze)
     return {route.table: route_table(flat, route) for route in routes} | {WIDE_TABLE: wide_table(flat)}
+
+
+def append_silver(
+    bronze: DataFrame,
+    namespace: str,
+    fmt: str = "parquet",
+    path: str | None = None,
+    balanced: bool = False,
+    bloom: bool = False,
+    at_once: int = PARALLEL_WRITES,
+) -> list[str]:
+    """Append the silver tables of a bronze frame in batch; returns the table names.
+
+    ``balanced`` gathers the rows of a day before the write, and ``bloom`` adds
+    the bloom filters of each table to Parquet files.
+    """
+    blooms = {route.table: route.bloom_columns for route in ROUTES} | {WIDE_TABLE: WIDE_BLOOM_COLUMNS}
+    writes = [
+        partial(
+            append_table,
+            frame,
+            f"{namespace}.{table}",
+            "silver",
+            SILVER_PARTITIONS,
+            fmt,
+            path=f"{path}/{table}" if path else None,
+            balanced=balanced,
+            options=bloom_options(blooms[table]) if bloom else None,
+        )
+        for table, frame in silver_tables(bronze).items()
+    ]
+    in_parallel(bronze.sparkSession, writes, at_once)
+    return [f"{namespace}.{table}" for table in blooms]

@@ -147,7 +147,6 @@ class Route:
     rules: tuple[Rule, ...]
     bloom_columns: tuple[str, ...]
     cluster_columns: tuple[str, ...] = ("dvc_hostname", "event_id")
-    partition_columns: tuple[str, ...] = ("_event_date",)
 
 
 def message_by_event(messages: dict[str, str]) -> Expression:

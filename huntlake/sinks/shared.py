@@ -1,16 +1,18 @@
-"""Folders shared by driver and executors, and frames shared by several consumers."""
+"""Folders shared by driver and executors, frames and job slots shared by several writes."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
+PARALLEL_WRITES = 4
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,3 +42,16 @@ def shared(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
         yield df
     finally:
         df.unpersist()
+
+
+def in_parallel(
+    spark: SparkSession, actions: Iterable[Callable[[], object]], at_once: int = PARALLEL_WRITES
+) -> None:
+    """Run independent Spark actions from a few driver threads, so that small jobs overlap.
+
+    Returns when all have ended; the first error, in the order given, is raised.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+    for done in running:
+        done.result()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from huntlake.functions.names import field, quoted
+from huntlake.functions.names import quoted
 
 TIERS = ("bronze", "silver", "gold")
 
@@ -94,8 +94,11 @@ def fit_to_table(df: DataFrame, name: str) -> DataFrame:
     Nested structs that grow are for ``append_files``.
     """
     spark = df.sparkSession
-    table = {item.name: item.dataType for item in spark.table(name).schema.fields}
-    changed = [i.name for i in df.schema.fields if i.name in table and table[i.name] != i.dataType]
+    # as text, types leave out whether NULL is allowed, which does not matter here
+    table = {item.name: item.dataType.simpleString() for item in spark.table(name).schema.fields}
+    changed = [
+        i.name for i in df.schema.fields if table.get(i.name, i.dataType.simpleString()) != i.dataType.simpleString()
+    ]
     if changed:
         raise ValueError(f"columns of {name} with another type than the table: {changed}")
     added = [i for i in df.schema.fields if i.name not in table]
@@ -104,7 +107,7 @@ def fit_to_table(df: DataFrame, name: str) -> DataFrame:
     present = set(df.columns)
     return df.select(
         *(
-            field(item.name) if item.name in present else F.lit(None).cast(item.dataType).alias(item.name)
+            quoted(item.name) if item.name in present else F.lit(None).cast(item.dataType).alias(item.name)
             for item in spark.table(name).schema.fields
         )
     )

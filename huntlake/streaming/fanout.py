@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from huntlake.functions.names import field
-from huntlake.sinks.shared import shared
+from huntlake.functions.names import quoted
+from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
 from huntlake.sinks.tables import create_table
 from huntlake.streaming.append import AVAILABLE_NOW, checkpoint_path
 
@@ -26,11 +27,12 @@ def fan_out(
     checkpoint_root: str | None = None,
     path: str | None = None,
     trigger: dict | None = None,
+    at_once: int = PARALLEL_WRITES,
 ) -> StreamingQuery:
     """Start a stream that writes every frame of ``tables(stream)`` to its own table.
 
     A micro-batch is read and decoded once, kept for the duration of its writes
-    and then released. Each write replaces the table partitions of its own batch
+    (``at_once`` at a time) and then released. Each write replaces the table partitions of its own batch
     (column ``_batch``), so a batch that is run again after a failure leaves its
     rows once in every table.
     """
@@ -44,12 +46,14 @@ def fan_out(
         session = batch.sparkSession
         session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         query_id = session.sparkContext.getLocalProperty(QUERY_ID_PROPERTY)
+
+        def replace(name: str, frame: DataFrame) -> None:
+            table = f"{namespace}.{name}"
+            marked = frame.withColumn(BATCH, F.lit(f"{query_id}-{batch_id}"))
+            marked.select(*map(quoted, session.table(table).columns)).write.insertInto(table, overwrite=True)
+
         with shared(batch) as events:
-            for name, frame in tables(events).items():
-                table = f"{namespace}.{name}"
-                marked = frame.withColumn(BATCH, F.lit(f"{query_id}-{batch_id}"))
-                columns = [field(c) for c in session.table(table).columns]
-                marked.select(*columns).write.insertInto(table, overwrite=True)
+            in_parallel(session, (partial(replace, *item) for item in tables(events).items()), at_once)
 
     return (
         stream.writeStream.foreachBatch(write)
