@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from huntlake.functions import once
 from huntlake.operators.ingest import promote_event_fields
 from huntlake.operators.shape import flatten_events
 
@@ -179,12 +180,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-like messages: the payload as JSON bytes, some malformed, some empty."""
     source = table(spark, sf_dir, "events")
-    return source.select(
+    value = (
         F.when(F.col("value") > EMPTY_ABOVE, None)
         .when(F.col("value") < MALFORMED_BELOW, F.lit(MALFORMED_TEXT))
         .otherwise(F.to_json(F.struct(*_nested(_event_fields()))))
-        .cast("binary")
-        .alias("value"),
+    )
+    return source.select(
+        once(value.cast("binary")).alias("value"),
         F.lit("winlogbeat").alias("topic"),
         (F.col("event_id") % 8).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),

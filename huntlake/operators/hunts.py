@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from huntlake.functions.entropy import shannon_entropy
 from huntlake.functions.names import field
+from huntlake.functions.once import once
 
 # Projections, markers and thresholds of the hunts.
 ISSUER_SETS = ("subject", "common_name", "rdns", "sha1_fingerprint", "src_ip", "dest_ip")
@@ -127,11 +128,10 @@ def blacklisted(certs: DataFrame) -> DataFrame:
 def high_entropy_names(certs: DataFrame, below: int = SHORT_NAME, above: float = HIGH_ENTROPY) -> DataFrame:
     """Certificates with a short subject and a random-looking common name, most random first."""
     short = certs.filter((F.length("subject") < below) & F.col("common_name").isNotNull())
-    # The one-element array keeps the score from being computed again by the filter.
     scored = short.select(
         *NAME_COLUMNS,
         *_observation(certs),
-        F.explode(F.array(shannon_entropy(F.col("common_name")))).alias("entropy_score"),
+        once(shannon_entropy(F.col("common_name"))).alias("entropy_score"),
     ).filter(F.col("entropy_score") > above)
     return _ordered(scored, F.col("entropy_score").desc())
 

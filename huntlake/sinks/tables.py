@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -42,7 +43,7 @@ def create_table(
     """Create an empty table unless it exists. With ``path`` its files live there."""
     layout = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     place = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING {fmt}{layout}{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_nullable(schema).toDDL()}) USING {fmt}{layout}{place}")
 
 
 def balance(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -103,7 +104,7 @@ def fit_to_table(df: DataFrame, name: str) -> DataFrame:
         raise ValueError(f"columns of {name} with another type than the table: {changed}")
     added = [i for i in df.schema.fields if i.name not in table]
     if added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({StructType(added).toDDL()})")
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(StructType(added)).toDDL()})")
     present = set(df.columns)
     return df.select(
         *(
@@ -139,3 +140,11 @@ def set_statistics_width(spark: SparkSession, columns: int = BRONZE_STATISTICS_C
 def check_tier(tier: str) -> None:
     if tier not in TIERS:
         raise ValueError(f"tier must be one of {TIERS}, not {tier!r}")
+
+
+def _nullable(schema: StructType) -> StructType:
+    """The schema with NULL allowed everywhere: a later append may lack any field."""
+    text = schema.json()
+    for flag in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{flag}":false', f'"{flag}":true')
+    return StructType.fromJson(json.loads(text))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from huntlake.functions.names import field
+from huntlake.functions.once import once
 
 CORRUPT = "_corrupt_record"
 RAW = "_raw"
@@ -43,7 +44,7 @@ def decode_json(
         kept += [field(c).alias("_" + c) for c in COORDINATES]
     if keep_raw:
         kept.append(field(value).alias(RAW))
-    return messages.select(parsed.alias("payload"), *kept).select(
+    return messages.select(once(parsed).alias("payload"), *kept).select(
         "payload.*", *(["_" + c for c in COORDINATES] if keep_coordinates else []), *([RAW] if keep_raw else [])
     )
 

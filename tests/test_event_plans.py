@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from catalogue import inputs
+from huntlake.functions.names import field
+from huntlake.operators.shape import flatten_events
+from huntlake.plans.events import BRONZE_PARTITIONS, bronze_events, route_events, route_table, silver_tables
+from huntlake.plans.rules import PROCESS, ROUTES
+from huntlake.sinks.tables import append_table
+
+
+@pytest.fixture(scope="module")
+def bronze_table(spark, sf_dir, tmp_path_factory):
+    spark.sql("drop table if exists unit.bronze")
+    bronze = bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir))
+    path = str(tmp_path_factory.mktemp("bronze") / "t")
+    append_table(bronze, "unit.bronze", "bronze", BRONZE_PARTITIONS, path=path, balanced=True)
+    return spark.table("unit.bronze")
+
+
+def test_payload_round_trip(spark, sf_dir):
+    """The stand-in events equal what decoding their JSON messages gives."""
+    direct = inputs.events(spark, sf_dir)
+    decoded = bronze_events(inputs.messages(spark, sf_dir), direct.schema).select(*map(field, direct.columns))
+    ids = decoded.select("rid")
+    assert rows(decoded.select("rid", F.to_json("winlog"))) == rows(
+        direct.join(ids, "rid", "left_semi").select("rid", F.to_json("winlog"))
+    )
+
+
+def test_bronze_is_map_only(spark, sf_dir, plan):
+    text = plan(bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir)))
+    assert "Exchange" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("route", ROUTES, ids=lambda route: route.table)
+def test_routes_prune_partitions_fields_and_push_filters(bronze_table, route):
+    frame = silver_tables(bronze_table)[route.table]
+    text = frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "Exchange" not in text and "Python" not in text
+    assert "PartitionFilters: [isnotnull(_sourcetype" in text
+    assert "PushedFilters: [" in text and "winlog.event_id" in text.split("PushedFilters: [")[1].split("\n")[0]
+    schema = text.split("ReadSchema: ")[1].split("\n")[0]
+    assert "message" not in schema and "rid" not in schema
+    if route.table != "registry":
+        assert "TargetObject" not in schema
+
+
+def test_numeric_event_ids(spark):
+    data = [("Microsoft-Windows-Sysmon/Operational", i) for i in (1, 2, 5, None)]
+    flat = spark.createDataFrame(data, "_sourcetype string, `winlog:event_id` bigint")
+    assert route_events(flat, PROCESS).count() == 2
+    table = route_table(flat, PROCESS)
+    assert sorted(r[0] for r in table.select("event_message").collect()) == ["Process Started", "Process Terminated"]
+
+
+def test_routes_take_only_their_channel(spark):
+    flat = spark.createDataFrame([("Security", "1"), (None, "1")], "_sourcetype string, `winlog:event_id` string")
+    assert route_events(flat, PROCESS).count() == 0
+
+
+def test_malformed_event_ids_are_no_error(spark):
+    data = [("Microsoft-Windows-Sysmon/Operational", i) for i in ("1", "x", None)]
+    flat = spark.createDataFrame(data, "_sourcetype string, `winlog:event_id` string")
+    assert route_table(flat, PROCESS).count() == 1
+
+
+def test_flat_bronze_keeps_all_rows(bronze_table):
+    assert flatten_events(bronze_table).count() == bronze_table.count()

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from huntlake.operators.layout import bloom_options, optimize_table, zorder
+from huntlake.sinks.tables import append_table
+
+
+@pytest.fixture
+def points(spark):
+    shuffled = list(range(4000))
+    random.Random(3).shuffle(shuffled)
+    data = [(i, f"user-{j % 1000:04d}", j * 7 % 2000, None if j % 50 == 0 else j / 3) for i, j in enumerate(shuffled)]
+    return spark.createDataFrame(data, "id int, user string, n int, v double").repartition(8, "id")
+
+
+def overlap(path, column, value):
+    """Number of files whose min/max range of ``column`` holds ``value``, and of all files."""
+    ranges = []
+    for file in sorted(path.glob("**/*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        position = meta.schema.to_arrow_schema().names.index(column)
+        for group in range(meta.num_row_groups):
+            stats = meta.row_group(group).column(position).statistics
+            ranges.append((stats.min, stats.max))
+    return sum(low <= value <= high for low, high in ranges), len(ranges)
+
+
+def test_zorder_keeps_rows_and_skips_files(points, tmp_path):
+    ordered = zorder(points, ["user", "n"], files=16)
+    assert ordered.columns == points.columns
+    assert rows(ordered) == rows(points)
+    ordered.write.parquet(str(tmp_path / "z"))
+    for column, value in (("user", "user-0500"), ("n", 1000)):
+        touched, files = overlap(tmp_path / "z", column, value)
+        assert files == 16 and touched <= 8
+
+
+@pytest.mark.parametrize("columns", [["v"], ["user", "n", "v"], ["id", "user", "n", "v"]])
+def test_zorder_of_one_or_many_columns_with_nulls(points, columns):
+    assert rows(zorder(points, columns)) == rows(points)
+
+
+def test_zorder_of_no_rows(points):
+    assert zorder(points.filter("id < 0"), ["user"]).count() == 0
+
+
+def test_zorder_spreads_a_value_that_fills_a_third(spark):
+    skewed = spark.range(0, 9000, 1, 4).selectExpr("id", "if(id % 3 = 0, 'hot', concat('u', id)) as user")
+    sizes = zorder(skewed, ["user"], files=12).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 9000
+    assert max(r["count"] for r in sizes) < 1800
+
+
+def test_optimize_spreads_equal_rows(spark, settings, tmp_path):
+    """Copies of one row are told apart by their position in the source files."""
+    spark.sql("drop table if exists unit.copies")
+    copies = spark.range(0, 9000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', concat('u', id)) as user")
+    append_table(copies, "unit.copies", "silver", path=str(tmp_path / "copies"))
+    before = rows(spark.table("unit.copies"))
+    new = optimize_table(spark, "unit.copies", ["user"], files=12)
+    assert rows(spark.table("unit.copies")) == before
+    counts = [pq.ParquetFile(f).metadata.num_rows for f in tmp_path.glob(new.rsplit("/", 1)[1] + "/*.parquet")]
+    assert sum(counts) == 9000 and max(counts) < 1800
+
+
+def test_optimize_partitioned_table_and_slice(spark, points, tmp_path):
+    spark.sql("drop table if exists unit.parted")
+    parted = points.withColumn("day", F.expr("case n % 3 when 0 then 'a/b' when 1 then \"it's\" end"))
+    for _ in range(2):
+        append_table(parted, "unit.parted", "silver", ["day"], path=str(tmp_path / "parted"))
+    before = rows(spark.table("unit.parted"))
+
+    optimize_table(spark, "unit.parted", ["user", "n"], where="day = 'a/b'", files=2)
+    assert rows(spark.table("unit.parted")) == before
+    moved = {f.split("/day=")[0] for f in spark.table("unit.parted").filter("day = 'a/b'").inputFiles()}
+    kept = {f.split("/day=")[0] for f in spark.table("unit.parted").filter("day is null").inputFiles()}
+    assert len(moved) == 1 and moved != kept
+
+    optimize_table(spark, "unit.parted", ["user", "n"])
+    assert rows(spark.table("unit.parted")) == before
+    append_table(parted, "unit.parted", "silver", ["day"])
+    assert spark.table("unit.parted").count() == len(before) + 4000
+
+
+def test_bloom_options_reach_the_files(spark, tmp_path):
+    assert bloom_options(["a:b"], 1000) == {
+        "parquet.bloom.filter.enabled#a:b": "true",
+        "parquet.bloom.filter.expected.ndv#a:b": "1000",
+        "parquet.bloom.filter.fpp#a:b": "0.1",
+    }
+    # distinct values, so that the column is not dictionary encoded all through
+    frame = spark.range(0, 200_000, 1, 1).selectExpr("sha1(cast(id as string)) as k", "sha1(cast(-id as string)) as o")
+    path = str(tmp_path / "bloom")
+    frame.write.options(**bloom_options(["k"], 200_000)).parquet(path)
+
+    jvm = spark._jvm
+    (file,) = (tmp_path / "bloom").glob("*.parquet")
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.org.apache.hadoop.fs.Path(str(file)), spark._jsc.hadoopConfiguration()
+    )
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        columns = reader.getRowGroups().get(0).getColumns()
+        offsets = [columns.get(i).getBloomFilterOffset() for i in range(2)]
+    finally:
+        reader.close()
+    assert offsets[0] > 0 and offsets[1] < 0
+    assert spark.read.parquet(path).filter("k = sha1('7')").count() == 1

@@ -115,6 +115,7 @@ def test_drop_corrupt_without_marker_column(spark):
 def test_decode_stays_in_the_jvm(messages, plan):
     text = plan(drop_corrupt(decode_json(message_text(messages), SCHEMA)))
     assert "Python" not in text and "Exchange" not in text
+    assert text.count("from_json") == 1, "a message is parsed once"
 
 
 def test_capture_schema(spark):
