@@ -3,7 +3,8 @@
 BENCH_SF_DIR   input folder, default /root/testdata/sf0.1
 BENCH_CPUS     local cores, default 8
 BENCH_QUERIES  comma-separated names, or "all"; default: the headline queries
-BENCH_RUNS     timed runs after one warm-up, default 3; the median counts
+BENCH_RUNS     timed runs after one warm-up, default 3; the median counts.
+               A query whose warm-up takes over 8 seconds is timed once.
 
 A query's time covers building its plan and running it into a sink that drops
 the rows; queries that write tables or run streams include that work.
@@ -46,6 +47,8 @@ HEADLINE = (
     "zorder_rewrite",
 )
 
+LONG = 8.0
+
 
 def session(cpus: str) -> SparkSession:
     spark = (
@@ -77,8 +80,8 @@ def main() -> None:
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     times = {}
     for name in names:
-        seconds(spark, name, sf_dir)
-        times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(runs)), 3)
+        repeats = runs if seconds(spark, name, sf_dir) < LONG else 1
+        times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(repeats)), 3)
     spark.stop()
     result = {
         "metric": "huntlake_total_query_time",

@@ -117,7 +117,7 @@ WIDE = FLAT.replace('"winlog:event_id"', "event_id")
 
 ORACLES: dict[str, str] = {}
 
-for _name in ("src_json", "src_json_infer", "src_table"):
+for _name in ("src_json", "src_json_infer", "src_table", "src_default"):
     ORACLES[_name] = with_inputs(f"select {CERTS} from certs", "certs")
 ORACLES["src_csv_infer"] = with_inputs(
     'select cast("listingDate" as integer) as "listingDate", "SHA1", "Listingreason" from sslbl', "sslbl"
@@ -375,6 +375,8 @@ select event_date, case
 from delivered where channel = 'Microsoft-Windows-Sysmon/Operational'
   and winlog_event_id in ('1', '3', '4', '5', '11', '12', '13', '14', '18', '19', '20', '21', '22', '23')""",
 )
+ORACLES["stream_silver"] = ORACLES["silver_from_bronze"]
+ORACLES["silver_optimized"] = ORACLES["silver_from_bronze"]
 ORACLES["stream_fanout"] = ORACLES["silver_from_bronze"]
 ORACLES["append_evolving"] = with_inputs(
     """select rid, event_date as "_event_date", log_level as "log:level", cast(null as varchar) as "event:action",

@@ -20,7 +20,7 @@ from huntlake.plans import certificates, events, rules
 from huntlake.sinks import tables
 from huntlake.sinks.shared import fresh_folder
 from huntlake.sources import files, payload
-from huntlake.streaming.append import stream_to_table
+from huntlake.streaming.append import stream_tables, stream_to_table
 from huntlake.streaming.fanout import fan_out
 
 NAMESPACE = "huntlake_checks"
@@ -99,6 +99,13 @@ def src_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, name)
 
 
+@register
+def src_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "src_default")
+    inputs.certs(spark, sf_dir).write.parquet(path)
+    return files.read_batch(spark, path)
+
+
 @register
 def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.messages(spark, sf_dir)
@@ -108,10 +115,7 @@ def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = payload.message_text(inputs.messages(spark, sf_dir))
-    schema = inputs.payload_schema(spark, sf_dir)
-    decoded = payload.decode_json(messages, schema, keep_raw=True, keep_coordinates=True)
-    return payload.corrupt_records(decoded).select("_topic", "_partition", "_offset", "_raw")
+    return events.quarantine(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir))
 
 
 @register
@@ -374,6 +378,17 @@ def silver_counts(spark: SparkSession) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@register
+def silver_optimized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, with every silver table compacted and Z-ordered after the append."""
+    bronze = files.read_table(spark, write_bronze(spark, sf_dir, "silver_optimized"))
+    for table in SILVER_TABLES:
+        fresh_table(spark, table)
+    events.append_silver(bronze, NAMESPACE, path=fresh_folder(spark, "silver_optimized"))
+    events.optimize_silver(spark, NAMESPACE)
+    return silver_counts(spark)
+
+
 @register
 def append_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = fresh_table(spark, "append_evolving")
@@ -434,6 +449,30 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_counts(spark)
 
 
+@register
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to a bronze table by one stream, bronze to the silver tables by one stream each."""
+    messages, root = message_stream(spark, sf_dir, "stream_silver")
+    name, _ = fresh_table(spark, "stream_silver_bronze")
+    for table in SILVER_TABLES:
+        fresh_table(spark, table)
+    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir))
+    stream_to_table(
+        bronze, name, "bronze", events.BRONZE_PARTITIONS, checkpoint_root=root, path=f"{root}/bronze"
+    ).awaitTermination()
+    running = stream_tables(
+        events.silver_tables(spark.readStream.table(name)),
+        NAMESPACE,
+        "silver",
+        events.SILVER_PARTITIONS,
+        checkpoint_root=root,
+        path=f"{root}/tables",
+    )
+    for query in running:
+        query.awaitTermination()
+    return silver_counts(spark)
+
+
 # --- layout ------------------------------------------------------------------
 
 

@@ -1,0 +1,122 @@
+"""Security analytics on Spark: certificate hunting and Windows event normalisation."""
+
+from huntlake.functions import shannon_entropy
+from huntlake.operators.cim import Expression, Literal, Rename, apply_rules, fill_missing, parse_rules
+from huntlake.operators.enrich import (
+    broadcast_if_small,
+    clean_blacklist,
+    clean_top_hosts,
+    enrich_blacklist,
+    enrich_top_hosts,
+    exclude_top_hosts,
+)
+from huntlake.operators.hunts import (
+    blacklisted,
+    high_entropy_names,
+    issuer_values,
+    short_issuers,
+    single_subject_issuers,
+    unique_issuers,
+)
+from huntlake.operators.ingest import add_batch_metadata, add_ingest_time, promote_event_fields
+from huntlake.operators.layout import bloom_options, optimize_table, zorder
+from huntlake.operators.shape import flatten, flatten_events, prefix_columns, split_lines
+from huntlake.plans.certificates import build_tables, certificates_silver
+from huntlake.plans.events import (
+    append_silver,
+    bronze_events,
+    optimize_silver,
+    quarantine,
+    route_events,
+    route_table,
+    silver_tables,
+    wide_table,
+)
+from huntlake.plans.rules import ROUTES, Route
+from huntlake.settings import cluster_settings
+from huntlake.sinks.shared import shared
+from huntlake.sinks.tables import (
+    append_files,
+    append_table,
+    batch_writer,
+    create_namespace,
+    list_partitions,
+    read_files,
+)
+from huntlake.sources import (
+    capture_schema,
+    corrupt_records,
+    decode_json,
+    drop_corrupt,
+    message_text,
+    read_batch,
+    read_table,
+    read_topic,
+    stream_topic,
+)
+from huntlake.streaming.append import stream_tables, stream_to_table
+from huntlake.streaming.fanout import fan_out
+
+__all__ = [
+    "Expression",
+    "Literal",
+    "ROUTES",
+    "Rename",
+    "Route",
+    "add_batch_metadata",
+    "add_ingest_time",
+    "append_files",
+    "append_silver",
+    "append_table",
+    "apply_rules",
+    "batch_writer",
+    "blacklisted",
+    "bloom_options",
+    "broadcast_if_small",
+    "bronze_events",
+    "build_tables",
+    "capture_schema",
+    "certificates_silver",
+    "clean_blacklist",
+    "clean_top_hosts",
+    "cluster_settings",
+    "corrupt_records",
+    "create_namespace",
+    "decode_json",
+    "drop_corrupt",
+    "enrich_blacklist",
+    "enrich_top_hosts",
+    "exclude_top_hosts",
+    "fan_out",
+    "fill_missing",
+    "flatten",
+    "flatten_events",
+    "high_entropy_names",
+    "issuer_values",
+    "list_partitions",
+    "message_text",
+    "optimize_silver",
+    "optimize_table",
+    "parse_rules",
+    "prefix_columns",
+    "quarantine",
+    "promote_event_fields",
+    "read_batch",
+    "read_files",
+    "read_table",
+    "read_topic",
+    "route_events",
+    "route_table",
+    "shannon_entropy",
+    "shared",
+    "short_issuers",
+    "silver_tables",
+    "single_subject_issuers",
+    "split_lines",
+    "stream_tables",
+    "stream_to_table",
+    "stream_topic",
+    "unique_issuers",
+    "wide_table",
+    "zorder",
+]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Possessive, so that a long run needs neither backtracking nor stack.
-SAME_CHARACTER_RUN = r"(?s)(.)\1*+"
+# Two or more equal characters. Possessive, so that a long run needs neither backtracking nor stack.
+REPEATED_CHARACTER = r"(?s)(.)\1++"
 
 
 def shannon_entropy(text: Column) -> Column:
@@ -15,13 +15,12 @@ def shannon_entropy(text: Column) -> Column:
     Over the n characters this is ``log2(n) - sum(c * log2(c)) / n``, where c
     runs over the counts of the distinct characters. The characters are sorted,
     so that each distinct one becomes a run whose length is its count; the cost
-    does not grow with the size of the alphabet. NULL gives NULL and the empty
-    string gives 0.
+    does not grow with the size of the alphabet, and characters that occur once
+    add nothing to the sum. NULL gives NULL and the empty string gives 0.
     """
     n = F.length(text)
     ordered = F.array_join(F.sort_array(F.split(text, "")), "")
-    runs = F.regexp_extract_all(ordered, F.lit(SAME_CHARACTER_RUN), F.lit(0))
-    counts = F.transform(runs, lambda run: F.length(run).cast("double"))
-    weighted = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * F.log2(c))
+    runs = F.regexp_extract_all(ordered, F.lit(REPEATED_CHARACTER), F.lit(0))
+    weighted = F.aggregate(runs, F.lit(0.0), lambda acc, run: acc + F.length(run) * F.log2(F.length(run)))
     # rounding can leave a tiny negative value for one-character alphabets
     return F.when(n == 0, F.lit(0.0)).when(n > 0, F.greatest(F.log2(n) - weighted / n, F.lit(0.0)))

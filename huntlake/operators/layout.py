@@ -20,7 +20,7 @@ BLOOM_FALSE_POSITIVES = 0.1
 BLOOM_ROW_GROUP_VALUES = 1_000_000
 
 ZORDER_BITS = 6
-BOUNDS_SAMPLE_ROWS = 20_000
+BOUNDS_SAMPLE_ROWS = 5_000
 ZORDER_KEY = "_zorder_key"
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
@@ -66,41 +66,64 @@ def zorder(
 
 
 def optimize_table(
-    spark: SparkSession, name: str, columns: Sequence[str], where: str | None = None, files: int | None = None
+    spark: SparkSession,
+    name: str,
+    columns: Sequence[str],
+    where: str | None = None,
+    files: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> str:
     """Compact and Z-order a catalog table, or the partitions chosen by ``where``.
 
-    ``where`` may name partition columns only. A Delta table is handed to
-    Delta's own command. The files of a Parquet table are rewritten to a new
-    directory beside the old one, and the catalog is then pointed to it; the old
-    files are left for running readers and are not deleted. Nobody may append to
-    the chosen partitions meanwhile. Returns the new directory, or the table name
-    for Delta.
+    ``where`` may name partition columns only, and ``options`` are write options
+    such as ``bloom_options``. A Delta table is handed to Delta's own command.
+    The files of a Parquet table are rewritten to a new directory beside the old
+    one, and the catalog is then pointed to it; the old files are left for
+    running readers and are not deleted. Nobody may append to the chosen
+    partitions meanwhile. Returns the new directory, or the table name for Delta.
     """
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     if detail["Provider"].lower() == "delta":
-        slice_ = f" WHERE {where}" if where else ""
-        spark.sql(f"OPTIMIZE {name}{slice_} ZORDER BY ({', '.join(map(quoted, columns))})")
+        chosen = f" WHERE {where}" if where else ""
+        spark.sql(f"OPTIMIZE {name}{chosen} ZORDER BY ({', '.join(map(quoted, columns))})")
         return name
 
     partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    moved = _partitions(spark, name, partition_by, where) if partition_by else {}
     table = spark.table(name)
-    chosen = table.filter(where) if where else table
-    target = f"{detail['Location'].rstrip('/')}_{uuid.uuid4().hex}"
-    rows = chosen.select("*", F.col("_metadata.row_index").alias("_row_index"))
+    rows = (table.filter(where) if where else table).select("*", F.col("_metadata.row_index").alias("_row_index"))
     written = zorder(rows, columns, partition_by, files, tie=["_row_index"]).drop("_row_index")
-    written.write.partitionBy(*partition_by).parquet(target)
+    target = f"{detail['Location'].rstrip('/')}_{uuid.uuid4().hex}"
+    written.write.partitionBy(*partition_by).options(**(options or {})).parquet(target)
 
     if not partition_by:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect() if partition_by else ():
-        spec, holds = _partition_spec(row["partition"])
-        if where is None or spark.range(1).selectExpr(*holds).filter(where).count():
-            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{target}/{row['partition']}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {text_literal(target)}")
+    for path, spec in moved.items():
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {text_literal(f'{target}/{path}')}")
     spark.catalog.refreshTable(name)
     return target
 
 
+def _partitions(
+    spark: SparkSession, name: str, partition_by: Sequence[str], where: str | None
+) -> dict[str, str]:
+    """Directory name -> SQL partition spec, for the partitions of a table that ``where`` chooses."""
+    specs, rows = {}, []
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        path = row["partition"]
+        values = [unquote(part.partition("=")[2]) for part in path.split("/")]
+        values = [None if value == HIVE_NULL else value for value in values]
+        specs[path] = ", ".join(
+            f"{quoted(column)} = " + ("null" if value is None else text_literal(value))
+            for column, value in zip(partition_by, values)
+        )
+        rows.append((path, *values))
+    if where is None or not rows:
+        return specs
+    schema = ", ".join(f"{quoted(column)} string" for column in ("_path", *partition_by))
+    return {r["_path"]: specs[r["_path"]] for r in spark.createDataFrame(rows, schema).filter(where).collect()}
+
+
 def _range_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[Any]]:
     """Up to ``buckets - 1`` distinct quantiles per column.
 
@@ -139,14 +162,3 @@ def _interleave(buckets: list[Column], bits: int) -> Column:
             picked = F.shiftright(wide, bit).bitwiseAND(F.lit(1))
             key = key.bitwiseOR(F.shiftleft(picked, bit * len(buckets) + position))
     return key
-
-
-def _partition_spec(path: str) -> tuple[str, list[str]]:
-    """SQL partition spec for ``a=1/b=x``, and the same values as SQL columns."""
-    spec, columns = [], []
-    for part in path.split("/"):
-        name, _, value = (unquote(text) for text in part.partition("="))
-        absent = value == HIVE_NULL
-        spec.append(f"{quoted(name)} = " + ("null" if absent else text_literal(value)))
-        columns.append(f"{text_literal(None if absent else value)} AS {quoted(name)}")
-    return ", ".join(spec), columns

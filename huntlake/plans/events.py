@@ -4,34 +4,45 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from huntlake.functions.names import field
 from huntlake.operators.cim import MISSING_TEXT, apply_rules
 from huntlake.operators.ingest import add_ingest_time, promote_event_fields
-from huntlake.operators.layout import bloom_options
+from huntlake.operators.layout import bloom_options, optimize_table
 from huntlake.operators.shape import flatten_events
 from huntlake.plans.rules import EVENT_ID, ROUTES, SYSMON_CHANNEL, Route
 from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel
 from huntlake.sinks.tables import append_table
-from huntlake.sources.payload import decode_json, drop_corrupt, message_text
+from huntlake.sources.payload import corrupt_records, decode_json, drop_corrupt, message_text
 
 BRONZE_PARTITIONS = ("_event_date", "_sourcetype")
 WIDE_TABLE = "all_silver"
 SILVER_PARTITIONS = ("_event_date",)
-WIDE_BLOOM_COLUMNS = ("_sourcetype",)
-WIDE_CLUSTER_COLUMNS = ("event_id",)
+BLOOM_COLUMNS = {route.table: route.bloom_columns for route in ROUTES} | {WIDE_TABLE: ("_sourcetype",)}
+CLUSTER_COLUMNS = {route.table: route.cluster_columns for route in ROUTES} | {WIDE_TABLE: ("event_id",)}
 
 
-def bronze_events(messages: DataFrame, schema: StructType) -> DataFrame:
+def bronze_events(
+    messages: DataFrame, schema: StructType, keep_raw: bool = False, keep_coordinates: bool = False
+) -> DataFrame:
     """Kafka-like messages (a ``value`` column) to bronze rows; malformed messages are dropped.
 
-    Valid on batch and streaming frames.
+    Valid on batch and streaming frames. ``keep_raw`` and ``keep_coordinates``
+    are those of ``decode_json``.
     """
-    decoded = drop_corrupt(decode_json(message_text(messages), schema))
-    return promote_event_fields(add_ingest_time(decoded))
+    decoded = decode_json(
+        message_text(messages), schema, keep_raw=keep_raw, keep_coordinates=keep_coordinates
+    )
+    return promote_event_fields(add_ingest_time(drop_corrupt(decoded)))
+
+
+def quarantine(messages: DataFrame, schema: StructType) -> DataFrame:
+    """The malformed messages: their text and where in the topic they are."""
+    decoded = decode_json(message_text(messages), schema, keep_raw=True, keep_coordinates=True)
+    return corrupt_records(decoded).select("_topic", "_partition", "_offset", "_raw")
 
 
 def route_events(flat_events: DataFrame, route: Route) -> DataFrame:
@@ -80,7 +91,6 @@ def append_silver(
     ``balanced`` gathers the rows of a day before the write, and ``bloom`` adds
     the bloom filters of each table to Parquet files.
     """
-    blooms = {route.table: route.bloom_columns for route in ROUTES} | {WIDE_TABLE: WIDE_BLOOM_COLUMNS}
     writes = [
         partial(
             append_table,
@@ -91,9 +101,31 @@ def append_silver(
             fmt,
             path=f"{path}/{table}" if path else None,
             balanced=balanced,
-            options=bloom_options(blooms[table]) if bloom else None,
+            options=bloom_options(BLOOM_COLUMNS[table]) if bloom else None,
         )
         for table, frame in silver_tables(bronze).items()
     ]
     in_parallel(bronze.sparkSession, writes, at_once)
-    return [f"{namespace}.{table}" for table in blooms]
+    return [f"{namespace}.{table}" for table in BLOOM_COLUMNS]
+
+
+def optimize_silver(
+    spark: SparkSession, namespace: str, where: str | None = None, at_once: int = PARALLEL_WRITES
+) -> None:
+    """Compact and Z-order every silver table by its own columns, keeping its bloom filters.
+
+    A job of its own, to be run between appends, usually with ``where`` naming
+    the days that are complete.
+    """
+    rewrites = [
+        partial(
+            optimize_table,
+            spark,
+            f"{namespace}.{table}",
+            columns,
+            where,
+            options=bloom_options(BLOOM_COLUMNS[table]),
+        )
+        for table, columns in CLUSTER_COLUMNS.items()
+    ]
+    in_parallel(spark, rewrites, at_once)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from huntlake.functions.names import quoted
+from huntlake.functions.names import column_lookup, field, quoted
 
 TIERS = ("bronze", "silver", "gold")
 
@@ -95,20 +95,24 @@ def fit_to_table(df: DataFrame, name: str) -> DataFrame:
     Nested structs that grow are for ``append_files``.
     """
     spark = df.sparkSession
+    table = spark.table(name)
+    in_table = column_lookup(spark, table.columns)
     # as text, types leave out whether NULL is allowed, which does not matter here
-    table = {item.name: item.dataType.simpleString() for item in spark.table(name).schema.fields}
+    types = {item.name: item.dataType.simpleString() for item in table.schema.fields}
+    added = [i for i in df.schema.fields if in_table(i.name) is None]
     changed = [
-        i.name for i in df.schema.fields if table.get(i.name, i.dataType.simpleString()) != i.dataType.simpleString()
+        i.name for i in df.schema.fields if i not in added and types[in_table(i.name)] != i.dataType.simpleString()
     ]
     if changed:
         raise ValueError(f"columns of {name} with another type than the table: {changed}")
-    added = [i for i in df.schema.fields if i.name not in table]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(StructType(added)).toDDL()})")
-    present = set(df.columns)
+    in_frame = column_lookup(spark, df.columns)
     return df.select(
         *(
-            quoted(item.name) if item.name in present else F.lit(None).cast(item.dataType).alias(item.name)
+            F.lit(None).cast(item.dataType).alias(item.name)
+            if in_frame(item.name) is None
+            else field(in_frame(item.name)).alias(item.name)
             for item in spark.table(name).schema.fields
         )
     )

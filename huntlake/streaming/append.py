@@ -1,4 +1,4 @@
-"""Streaming append to one table."""
+"""Streaming append to tables."""
 
 from __future__ import annotations
 
@@ -49,3 +49,34 @@ def stream_to_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.toTable(name)
+
+
+def stream_tables(
+    frames: dict[str, DataFrame],
+    namespace: str,
+    tier: str,
+    partition_by: Sequence[str] = (),
+    checkpoint_root: str | None = None,
+    fmt: str = "parquet",
+    path: str | None = None,
+    trigger: dict | None = None,
+) -> list[StreamingQuery]:
+    """Start one stream per frame, each appending to the table of its name.
+
+    Meant for frames over a bronze table: every stream reads its own columns of
+    the new files, and commits exactly once on its own. A source that should be
+    read once only, such as a topic, is for ``fan_out``.
+    """
+    return [
+        stream_to_table(
+            frame,
+            f"{namespace}.{name}",
+            tier,
+            partition_by,
+            checkpoint_root,
+            fmt,
+            f"{path}/{name}" if path else None,
+            trigger,
+        )
+        for name, frame in frames.items()
+    ]

@@ -34,7 +34,9 @@ def fan_out(
     A micro-batch is read and decoded once, kept for the duration of its writes
     (``at_once`` at a time) and then released. Each write replaces the table partitions of its own batch
     (column ``_batch``), so a batch that is run again after a failure leaves its
-    rows once in every table.
+    rows once in every table. The price is one table partition per batch and
+    day, so the trigger should be minutes rather than seconds, and long-lived
+    tables are better fed from bronze by ``stream_tables``.
     """
     spark = stream.sparkSession
     for name, frame in tables(stream).items():

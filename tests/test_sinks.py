@@ -57,6 +57,13 @@ def test_type_change_raises_and_changes_nothing(spark, table):
     assert spark.table(name).columns == ["id"]
 
 
+def test_columns_are_matched_as_spark_matches_names(spark, table):
+    name, path = table
+    append_table(spark.sql("select 1 as Id, 'a' as v"), name, "silver", path=path)
+    append_table(spark.sql("select 'b' as V, 2 as id"), name, "silver")
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+
+
 def test_nullability_is_no_type_change(spark, table):
     name, path = table
     append_table(spark.sql("select array('a') as l"), name, "silver", path=path)
