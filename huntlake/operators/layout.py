@@ -23,6 +23,7 @@ ZORDER_BITS = 6
 BOUNDS_SAMPLE_ROWS = 5_000
 ZORDER_KEY = "_zorder_key"
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+STREAM_LOG = "_spark_metadata"
 
 
 def bloom_options(
@@ -81,6 +82,9 @@ def optimize_table(
     one, and the catalog is then pointed to it; the old files are left for
     running readers and are not deleted. Nobody may append to the chosen
     partitions meanwhile. Returns the new directory, or the table name for Delta.
+
+    A Parquet table that a stream appends to directly is refused: the stream
+    keeps its own list of files and goes on writing to the old directory.
     """
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     if detail["Provider"].lower() == "delta":
@@ -88,12 +92,15 @@ def optimize_table(
         spark.sql(f"OPTIMIZE {name}{chosen} ZORDER BY ({', '.join(map(quoted, columns))})")
         return name
 
+    location = detail["Location"].rstrip("/")
+    if _exists(spark, f"{location}/{STREAM_LOG}"):
+        raise ValueError(f"{name} is written by a stream and cannot be moved to a new directory")
     partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     moved = _partitions(spark, name, partition_by, where) if partition_by else {}
     table = spark.table(name)
     rows = (table.filter(where) if where else table).select("*", F.col("_metadata.row_index").alias("_row_index"))
     written = zorder(rows, columns, partition_by, files, tie=["_row_index"]).drop("_row_index")
-    target = f"{detail['Location'].rstrip('/')}_{uuid.uuid4().hex}"
+    target = f"{location}_{uuid.uuid4().hex}"
     written.write.partitionBy(*partition_by).options(**(options or {})).parquet(target)
 
     if not partition_by:
@@ -104,6 +111,11 @@ def optimize_table(
     return target
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def _partitions(
     spark: SparkSession, name: str, partition_by: Sequence[str], where: str | None
 ) -> dict[str, str]:

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from catalogue import inputs
+from huntlake.operators.layout import optimize_table
 from huntlake.plans.events import BRONZE_PARTITIONS, bronze_events, silver_tables
 from huntlake.sinks.shared import shared_folder
 from huntlake.streaming.append import checkpoint_path, stream_to_table
@@ -61,6 +62,16 @@ def test_append_equals_batch_and_resumes(spark, sf_dir, tmp_path, topic):
     assert rows(run()) == expected
 
 
+def test_a_table_fed_by_a_stream_is_not_moved(spark, tmp_path, topic):
+    spark.sql("drop table if exists unit.fed")
+    topic(0)
+    stream_to_table(
+        topic.stream(), "unit.fed", "bronze", checkpoint_root=str(tmp_path / "check"), path=str(tmp_path / "fed")
+    ).awaitTermination()
+    with pytest.raises(ValueError, match="stream"):
+        optimize_table(spark, "unit.fed", ["offset"])
+
+
 def test_unknown_tier_raises(spark, topic):
     topic(0)
     with pytest.raises(ValueError, match="tier"):
