@@ -76,7 +76,9 @@ def capture_schema(messages: DataFrame, value: str = "value") -> StructType:
 
 
 # A quoted name is matched first and copied, so that a field called like a type is left alone.
-_VARIANT_TOKEN = re.compile(r"`(?:[^`]|``)*`|(?P<name>\w+)(?=:)|(?P<type>OBJECT(?:<>)?|VOID|VARIANT|DECIMAL\(\d+,\s*\d+\))")
+_VARIANT_TOKEN = re.compile(
+    r"`(?:[^`]|``)*`|\w+(?=:)|(?P<type>OBJECT(?:<>)?|VOID|VARIANT|DECIMAL\(\d+,\s*\d+\))"
+)
 
 
 def _variant_schema_to_ddl(text: str) -> str:

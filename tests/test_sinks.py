@@ -91,7 +91,9 @@ def test_balanced_write_has_few_files(spark, tmp_path):
 
 def test_balanced_write_splits_a_hot_partition(spark, settings, tmp_path):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
-    frame = spark.range(0, 60_000, 1, 8).selectExpr("sha1(cast(id as string)) as k", "if(id % 3 = 0, 'hot', 'd' || id % 9) as p")
+    frame = spark.range(0, 60_000, 1, 8).selectExpr(
+        "sha1(cast(id as string)) as k", "if(id % 3 = 0, 'hot', 'd' || id % 9) as p"
+    )
     spark.sql("drop table if exists unit.hot")
     append_table(frame, "unit.hot", "silver", ["p"], path=str(tmp_path / "hot"), balanced=True)
     assert len(list((tmp_path / "hot" / "p=hot").glob("*.parquet"))) > 3
