@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from huntlake.llm import language, packing, simhash, substrings
+from huntlake.llm import decontaminate, language, neighbours, packing, pages, separators, sharding, simhash
+from huntlake.llm import substrings, url_rules
 from huntlake.llm.common import table
+from huntlake.sinks.shared import fresh_folder
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,11 +37,151 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shuffled(sharding.document_rows(table(spark, sf_dir, "documents")))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files that are first written from the table.
+
+    A part of the table that one task reads becomes one file in the order of its
+    rows, so the n-th document of a file is the n-th row of its part.
+    """
+    documents = table(spark, sf_dir, "documents")
+    part = F.xxhash64(documents["_metadata.file_path"], documents["_metadata.file_block_start"]).cast("string")
+    placed = documents.select(part.alias("shard"), F.col("_metadata.row_index").alias("place"), "doc_id", "text")
+    path = fresh_folder(spark, "flat")
+    separators.write_flat(placed, path)
+    counted = separators.count_tokens(spark, path).withColumn("shard", F.regexp_extract("file", "shard=([^/]*)", 1))
+    row = Window.partitionBy("shard").orderBy("place")
+    rows = placed.select("shard", "doc_id", (F.row_number().over(row) - 1).cast("long").alias("ordinal"))
+    return rows.join(counted, ["shard", "ordinal"], "left").select("doc_id", "n_tokens", "shard", "ordinal")
+
+
+#: (verdict, host, path); fixed values of the query.
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "verdict string, host string, path string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_neighbours": op4_neighbours,
     "op5_simhash": op5_simhash,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_sharding": op7_sharding,
+    "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
+    "op10_url_filters": op10_url_filters,
 }
 
-ORACLES: dict[str, str] = {}
+#: Distinct shingles of five lower-case words of each item, and the documents that hold 80 % of an item's.
+DECONTAMINATION_SQL = """
+WITH item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), items AS (
+  SELECT DISTINCT item_id, array_to_string(w[at:at + 4], ' ') AS shingle
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS at FROM item_words WHERE len(w) >= 5)
+), sizes AS (
+  SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id
+), doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents WHERE text IS NOT NULL
+), docs AS (
+  SELECT DISTINCT doc_id, array_to_string(w[at:at + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS at FROM doc_words WHERE len(w) >= 5)
+), held AS (
+  SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared::DOUBLE / n_shingles AS containment
+FROM held JOIN sizes USING (item_id)
+WHERE n_shared >= ceil(n_shingles * 0.8 - 1e-9)
+"""
+
+#: Each rule tried on each URL; the longest that fits wins.
+URL_SQL = """
+WITH parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+), judged AS (
+  SELECT page_id, host, path, CASE
+    WHEN ('.' || host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host LIKE '%.net') AND path LIKE '/%' THEN 'net/'
+  END AS rule FROM parts
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+"""
+
+#: Windows of 13 words with the smallest document each starts in; a word goes if a window over it started earlier.
+SUBSTRING_SQL = """
+WITH split AS (
+  SELECT doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, at, array_to_string(w[at:at + 12], ' ') AS body
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS at FROM split WHERE len(w) >= 13)
+), hit AS (
+  SELECT doc_id, at FROM (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY body) AS first FROM windows)
+  WHERE doc_id > first
+), gone AS (
+  SELECT DISTINCT doc_id, at + unnest(range(0, 13)) AS place FROM hit
+), listed AS (
+  SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT split.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+    CASE WHEN places IS NULL THEN w
+      ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(places, x[2])), lambda x: x[1])
+    END AS words
+  FROM split LEFT JOIN listed USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
+  sha256(array_to_string(words, ' ')) AS kept_sha256
+FROM kept
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_decontamination": DECONTAMINATION_SQL,
+    "op3_substring_dedup": SUBSTRING_SQL,
+    "op10_url_filters": URL_SQL,
+}

@@ -2,10 +2,19 @@
 
 Rounds of recompression (``recompression.py``) give each window of words an
 anchor, a symbol that depends on the window alone. Neighbouring windows share
-anchors, so a document has far fewer anchors than windows. Only windows whose
-anchor occurs in two documents are hashed and compared; equal windows have
-equal anchors, so none is missed, and unequal ones under one anchor are told
-apart by their 128-bit hashes.
+anchors, so a document has far fewer anchors than windows. Three passes over
+the documents, none of which moves a text:
+
+1. The anchors of all documents, to find those that occur in two of them.
+2. For these, the chunks: runs of windows with one anchor, and the hash of all
+   words they cover. Where all chunks of an anchor are equal, the windows of
+   the later documents are repeats.
+3. Where they differ, at the ends of passages, the windows themselves.
+
+Equal windows have equal anchors, so no repeat is missed; a repeat is taken
+for one only if 128 bits of hashes of its words agree. What a pass looks for is
+sent to it as a Bloom filter of fixed size. If the filter is too full, more
+chunks and windows are compared; the result stays the same.
 """
 
 from __future__ import annotations
@@ -18,15 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from huntlake.llm.common import per_batch, saved, text_bytes
-from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of
+from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of, mix
 
 WIDTH = 13
 #: Words of a block, and of a part of a long document.
 BLOCK_WORDS = 1 << 16
+#: Bits of the filter of keys, 16 MB.
+FILTER_BITS = 1 << 27
+#: Windows of a chunk, which four bits hold.
+MOST_WINDOWS = 15
 
 
-def blocks(texts: list[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], Block, list[list[bytes]]]]:
-    """Blocks of about ``BLOCK_WORDS`` words: (row, place of its first word) of each part, the block, the words.
+def blocks(texts: list[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], Block]]:
+    """Blocks of about ``BLOCK_WORDS`` words, with (row, place of its first word) of each part.
 
     A longer document is cut into parts that overlap by ``width - 1`` words: each
     window is in one part, and its anchor is the same there.
@@ -40,10 +53,10 @@ def blocks(texts: list[bytes], width: int) -> Iterator[tuple[list[tuple[int, int
             held.append(part)
             size += len(part)
             if size >= BLOCK_WORDS:
-                yield where, block_of(held), held
+                yield where, block_of(held)
                 where, held, size = [], [], 0
     if held:
-        yield where, block_of(held), held
+        yield where, block_of(held)
 
 
 def _rows_of(starts: np.ndarray, block: Block, where: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -53,14 +66,20 @@ def _rows_of(starts: np.ndarray, block: Block, where: list[tuple[int, int]]) ->
     return rows[part], starts - block.bounds[part] + offsets[part]
 
 
+def _anchored(batch: pa.RecordBatch, width: int, rounds: int):
+    """For each block of a batch with (doc_id, text, ..): block, first words, keys, rows and places of its windows."""
+    for where, block in blocks(text_bytes(batch.column(1)), width):
+        starts, keys = block.anchors(width, rounds)
+        rows, places = _rows_of(starts, block, where)
+        yield block, starts, keys, rows, places
+
+
 def anchor_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
     """(doc_id, key) of the anchors of all windows, each key once per document and block."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for where, block, _ in blocks(text_bytes(batch.column(1)), width):
-            starts, keys = block.anchors(width, rounds)
-            rows, _ = _rows_of(starts, block, where)
+        for _, starts, keys, rows, _ in _anchored(batch, width, rounds):
             fresh = np.ones(len(starts), bool)
             order = np.lexsort((keys, rows))
             fresh[order[1:]] = (np.diff(keys[order]) != 0) | (np.diff(rows[order]) != 0)
@@ -68,91 +87,149 @@ def anchor_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
                 [pa.array(ids[rows[fresh]], pa.int64()), pa.array(keys[fresh].view(np.int64))], ["doc_id", "key"]
             )
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(per_batch(make), "doc_id long, key long")
+    return docs.select("doc_id", "text").mapInArrow(per_batch(make), "doc_id long, key long")
 
 
-def window_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
-    """(doc_id, place, a, b) of the windows whose anchors are in the column ``keys``.
+class KeyFilter:
+    """A Bloom filter of keys, ``FILTER_BITS`` large whatever it holds."""
+
+    def __init__(self, keys: DataFrame):
+        def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            bits = np.concatenate(list(self.bits_of(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
+            word = (bits >> np.uint64(6)).astype(np.int64)
+            mask = (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
+
+        placed = keys.mapInArrow(per_batch(make), "word long, mask long")
+        held = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        words = np.zeros(FILTER_BITS >> 6, np.int64)
+        words[held.column("word").to_numpy()] = held.column("mask").to_numpy()
+        self.sent = keys.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    @staticmethod
+    def bits_of(keys: np.ndarray) -> Iterator[np.ndarray]:
+        for seed in (STEP_A, STEP_B, 1):
+            yield mix(keys ^ np.uint64(seed)) % np.uint64(FILTER_BITS)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        words, found = np.frombuffer(self.sent.value, np.uint64), np.ones(len(keys), bool)
+        for bits in self.bits_of(keys):
+            found &= (words[bits >> np.uint64(6)] >> (bits & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return found
 
-    ``a`` and ``b`` hash the words of the window; ``place`` holds the word's
-    place and 31 bits of the text's hash, as an id may stand on several texts.
-    """
+
+def _marks(tags: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """31 bits of the text's hash, as an id may stand on several texts, the first window's place, the number of windows."""
+    return tags << 32 | places << 4 | sizes
+
+
+def chunk_rows(docs: DataFrame, wanted: KeyFilter, width: int, rounds: int) -> DataFrame:
+    """(doc_id, mark, key, body) of the runs of windows whose anchor is one of the wanted keys."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keys = [np.sort(np.array(x.as_py(), np.int64).view(np.uint64)) for x in batch.column(3)]
-        tags = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-        for where, block, _ in blocks(text_bytes(batch.column(1)), width):
-            starts, found = block.anchors(width, rounds)
-            rows, places = _rows_of(starts, block, where)
-            hot = np.zeros(len(starts), bool)
-            for row in np.unique(rows):
-                mine = slice(*np.searchsorted(rows, [row, row + 1]))
-                at = np.minimum(np.searchsorted(keys[row], found[mine]), len(keys[row]) - 1)
-                hot[mine] = keys[row][at] == found[mine]
-            starts, rows, places = starts[hot], rows[hot], places[hot]
-            a, b = (Spans(block.names, step).of(starts, starts + width).view(np.int64) for step in (STEP_A, STEP_B))
+        tags = batch.column(2).to_numpy(zero_copy_only=False)
+        for block, starts, keys, rows, places in _anchored(batch, width, rounds):
+            hot = wanted.has(keys)
+            starts, keys, rows, places = starts[hot], keys[hot], rows[hot], places[hot]
+            if not len(starts):
+                continue
+            heads = np.ones(len(starts), bool)
+            heads[1:] = (np.diff(keys) != 0) | (np.diff(starts) != 1)
+            since = np.arange(len(starts)) - np.maximum.accumulate(np.where(heads, np.arange(len(starts)), 0))
+            at = np.flatnonzero(heads | (since % MOST_WINDOWS == 0))
+            sizes = np.diff(np.append(at, len(starts)))
+            body = Spans(block.names, STEP_B).of(starts[at], starts[at] + sizes + (width - 1))
+            marks = _marks(tags[rows[at]], places[at], sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows], pa.int64()), pa.array(tags[rows] << 32 | places), pa.array(a), pa.array(b)],
-                ["doc_id", "place", "a", "b"],
+                [pa.array(ids[rows[at]], pa.int64()), pa.array(marks), pa.array(keys[at].view(np.int64)), pa.array(body.view(np.int64))],
+                ["doc_id", "mark", "key", "body"],
             )
 
-    columns = "doc_id long, place long, a long, b long"
-    return docs.select("doc_id", "text", "tag", "keys").mapInArrow(per_batch(make), columns)
+    columns = "doc_id long, mark long, key long, body long"
+    return docs.select("doc_id", "text", "tag").mapInArrow(per_batch(make), columns)
+
 
+def window_rows(docs: DataFrame, wanted: KeyFilter, width: int, rounds: int) -> DataFrame:
+    """(doc_id, mark, a, b) of the windows whose anchor is one of the wanted keys; ``a`` and ``b`` hash their words."""
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.expr("cast(xxhash64(text) & 2147483647 as long)").alias("tag"))
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        tags = batch.column(2).to_numpy(zero_copy_only=False)
+        for block, starts, keys, rows, places in _anchored(batch, width, rounds):
+            hot = wanted.has(keys)
+            starts, rows, places = starts[hot], rows[hot], places[hot]
+            a, b = (Spans(block.names, step).of(starts, starts + width).view(np.int64) for step in (STEP_A, STEP_B))
+            marks = _marks(tags[rows], places, np.ones(len(rows), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[rows], pa.int64()), pa.array(marks), pa.array(a), pa.array(b)], ["doc_id", "mark", "a", "b"]
+            )
 
+    return docs.select("doc_id", "text", "tag").mapInArrow(per_batch(make), "doc_id long, mark long, a long, b long")
 
-def repeated_places(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, places) of the windows that also start in a document with a smaller id."""
-    anchors = saved(anchor_rows(docs, width, rounds), "anchors")
-    shared_keys = (
-        anchors.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    )
-    wanted = (
-        anchors.join(shared_keys.select("key"), "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+
+def repeated_marks(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, marks) of the windows that also start in a document with a smaller id."""
+    tagged = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long"), "text", F.expr("xxhash64(text) & 2147483647").alias("tag")
     )
-    windows = saved(window_rows(_tagged(docs).join(wanted, "doc_id"), width, rounds), "windows")
-    first = windows.groupBy("a", "b").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    later = windows.join(first.where("least < most"), ["a", "b"]).where("doc_id > least")
-    return later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    least, most = F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+    shared = anchor_rows(tagged, width, rounds).groupBy("key").agg(least, most).where("least < most")
+    chunks = saved(chunk_rows(tagged, KeyFilter(shared.select("key")), width, rounds), "chunks")
+    groups = chunks.groupBy("key").agg(least, most, F.min("body").alias("low"), F.max("body").alias("high"))
+    groups = saved(groups.where("least < most"), "groups")
 
+    same = groups.where("low = high").select("key", "least")
+    later_chunks = chunks.join(same, "key").where("doc_id > least").select("doc_id", "mark")
+    mixed = KeyFilter(groups.where("low <> high").select("key"))
+    windows = saved(window_rows(tagged, mixed, width, rounds), "windows")
+    first = windows.groupBy("a", "b").agg(least, most).where("least < most")
+    later_windows = windows.join(first, ["a", "b"]).where("doc_id > least").select("doc_id", "mark")
+    return later_chunks.unionByName(later_windows).groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
 
-def keep_unique(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """For each document (doc_id, n_words, n_removed, kept): its words without repeated passages.
+
+def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+    """(row, n_words, n_removed, kept) of every row of ``docs`` (doc_id, text), its columns ``carry`` in ``row``.
 
     A word goes if a window of ``width`` words that covers it also starts in a
-    document with a smaller id. A NULL text has no words and gives an empty
-    ``kept``. Rows with a NULL id keep all words and serve no other row. Rows
-    of one id do not count against each other. Other columns are not read.
+    document with a smaller id; ``kept`` are the others, joined by one space. A
+    NULL text has no words and gives an empty ``kept``. Rows with a NULL id keep
+    all words and serve no other row. Rows of one id do not count against each
+    other. Windows are judged on the input, not on what is left.
     """
-    places = repeated_places(docs, width, rounds)
+    marks = repeated_marks(docs, width, rounds)
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         total, removed, kept = [], [], []
-        for text, tag, places in zip(text_bytes(batch.column(1)), batch.column(2), batch.column(3)):
+        for text, tag, held in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3)):
             words = text.split()
-            tag, places = tag.as_py(), np.array(places.as_py() or [], np.int64)
-            places = places[places >> 32 == tag] & 0xFFFFFFFF if tag is not None else places[:0]
+            held = held.values.to_numpy(zero_copy_only=False) if held.is_valid else np.zeros(0, np.int64)
+            held = held[held >> 32 == tag] & 0xFFFFFFFF
             total.append(len(words))
-            if len(places):
-                edges = np.bincount(places, minlength=len(words) + 1) - np.bincount(
-                    places + width, minlength=len(words) + 1
-                )
+            if len(held):
+                edges = np.bincount(held >> 4, minlength=len(words) + 1)
+                edges -= np.bincount((held >> 4) + (held & 15) + (width - 1), minlength=len(words) + 1)
                 stay = np.flatnonzero(np.cumsum(edges)[: len(words)] == 0)
                 words = [words[i] for i in stay.tolist()]
             removed.append(total[-1] - len(words))
             kept.append(b" ".join(words))
+        kept = pa.array(kept, pa.binary()).cast(pa.string())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept"],
+            [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), kept], ["row", "n_words", "n_removed", "kept"]
         )
 
-    return (
-        _tagged(docs)
-        .join(places, "doc_id", "left")
-        .select("doc_id", "text", "tag", "places")
-        .mapInArrow(per_batch(make), "doc_id long, n_words long, n_removed long, kept string")
+    rows = docs.select(
+        F.struct(*carry).alias("row"),
+        "text",
+        F.expr("xxhash64(text) & 2147483647").alias("tag"),
+        F.col("doc_id").cast("long").alias("id"),
     )
+    joined = rows.join(marks, F.col("id") == F.col("doc_id"), "left").select("row", "text", "tag", "marks")
+    kinds = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
+    return joined.mapInArrow(per_batch(make), kinds)
+
+
+def keep_unique(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) of every row; see ``kept_words``. Other columns are not read."""
+    found = kept_words(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"], width, rounds)
+    return found.select("row.doc_id", "n_words", "n_removed", "kept")
