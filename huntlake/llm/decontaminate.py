@@ -50,7 +50,7 @@ def item_sketches(items: DataFrame, shingle: int = SHINGLE, contained: float = C
         "shingles",
         "n_shingles",
         "need",
-        F.explode(F.slice("values", F.lit(1), F.col("n_shingles") - F.col("need") + 1)).alias("value"),
+        F.explode_outer(F.slice("values", F.lit(1), F.col("n_shingles") - F.col("need") + 1)).alias("value"),
     )
 
 
@@ -70,7 +70,8 @@ def contained_items(
     texts = docs.where("text is not null").select(
         F.xxhash64("text").alias("tag"), words_of(F.lower("text")).alias("words")
     )
-    spread = valued(texts, shingle).select("tag", F.size("values").alias("size"), F.explode("values").alias("value"))
+    # an outer explode: for an inner one Spark adds a filter that computes the whole array once more
+    spread = valued(texts, shingle).select("tag", F.size("values").alias("size"), F.explode_outer("values").alias("value"))
     candidates = saved(
         spread.join(looked_up, "value").where("size >= need").select("tag", "item_key").distinct(), "candidates"
     )

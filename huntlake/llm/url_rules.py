@@ -70,8 +70,8 @@ def expressions(urls: DataFrame, labels: int, depth: int) -> DataFrame:
         F.sequence(F.lit(0), F.size(steps) - 1),
         lambda n: F.when(n == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(steps, 1, n), "/"), F.lit("/"))),
     )
-    spread = urls.select("url", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
-    spread = spread.select("url", "path", "suffix", F.explode("prefixes").alias("folder"))
+    spread = urls.select("url", "path", F.explode_outer(suffixes).alias("suffix"), prefixes.alias("prefixes"))
+    spread = spread.select("url", "path", "suffix", F.explode_outer("prefixes").alias("folder"))
     return spread.select("url", "path", digest(F.col("suffix"), F.col("folder")).alias("digest")).withColumn(
         "short", F.substring("digest", 1, PREFIX)
     )
