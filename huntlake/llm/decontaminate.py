@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from huntlake.functions.once import once
 from huntlake.llm.common import saved, words_of
 
 SHINGLE = 5
@@ -70,8 +71,9 @@ def contained_items(
     texts = docs.where("text is not null").select(
         F.xxhash64("text").alias("tag"), words_of(F.lower("text")).alias("words")
     )
-    # an outer explode: for an inner one Spark adds a filter that computes the whole array once more
-    spread = valued(texts, shingle).select("tag", F.size("values").alias("size"), F.explode_outer("values").alias("value"))
+    # an outer explode and a size that is never NULL: else Spark filters on them below, computing the arrays once more
+    size = F.coalesce(F.size("words") - (shingle - 1), F.lit(0)).alias("size")
+    spread = valued(texts, shingle).select("tag", size, F.explode_outer("values").alias("value"))
     candidates = saved(
         spread.join(looked_up, "value").where("size >= need").select("tag", "item_key").distinct(), "candidates"
     )
@@ -82,8 +84,8 @@ def contained_items(
     held = F.filter("shingles", lambda one: F.contains(F.col("line"), F.concat(F.lit(" "), one, F.lit(" "))))
     return (
         tagged.join(wanted, "tag")
-        .withColumn("line", line)
-        .withColumn("n_shared", F.size(held))
+        .withColumn("line", once(line))
+        .withColumn("n_shared", once(F.size(held)))
         .where("n_shared >= need")
         .select("tag", "item_id", "n_shingles", "n_shared")
         .distinct()

@@ -113,16 +113,16 @@ WITH item_words AS (
   SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
   FROM benchmark WHERE text IS NOT NULL
 ), items AS (
-  SELECT DISTINCT item_id, array_to_string(w[at:at + 4], ' ') AS shingle
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS at FROM item_words WHERE len(w) >= 5)
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words WHERE len(w) >= 5)
 ), sizes AS (
   SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id
 ), doc_words AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
   FROM documents WHERE text IS NOT NULL
 ), docs AS (
-  SELECT DISTINCT doc_id, array_to_string(w[at:at + 4], ' ') AS shingle
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS at FROM doc_words WHERE len(w) >= 5)
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words WHERE len(w) >= 5)
 ), held AS (
   SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id
 )
@@ -159,13 +159,13 @@ WITH split AS (
     list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
   FROM documents
 ), windows AS (
-  SELECT doc_id, at, array_to_string(w[at:at + 12], ' ') AS body
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS at FROM split WHERE len(w) >= 13)
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS body
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split WHERE len(w) >= 13)
 ), hit AS (
-  SELECT doc_id, at FROM (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY body) AS first FROM windows)
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY body) AS first FROM windows)
   WHERE doc_id > first
 ), gone AS (
-  SELECT DISTINCT doc_id, at + unnest(range(0, 13)) AS place FROM hit
+  SELECT DISTINCT doc_id, i + unnest(range(0, 13)) AS place FROM hit
 ), listed AS (
   SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
 ), kept AS (
