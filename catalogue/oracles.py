@@ -180,29 +180,18 @@ ISSUER_VALUES = " union ".join(
 )
 
 
-def unique_issuers(set_row_values: int) -> str:
-    sets = ",\n  ".join(
-        f"coalesce(string_agg(value, ',' order by value) filter (where field = '{name}'), '') as {name}"
-        for name in SETS
-    )
-    return with_inputs(
-        f"""select issuer, part,
-  {sets},
-  count(distinct issuer) as "count"
-from dealt group by issuer, part""",
-        "silver",
-        issuer_values=ISSUER_VALUES,
-        sizes=f"""select issuer, cast(ceil(max(n) / {set_row_values}.0) as bigint) as parts
-from (select issuer, field, count(value) as n from issuer_values group by issuer, field) s group by issuer""",
-        dealt="""select v.issuer, v.field, v.value,
-  case when s.parts > 1 and v.value is not null
-       then cast(cast('0x' || substr(md5(v.value), 1, 8) as bigint) % s.parts as integer) else 0 end as part
-from issuer_values v join sizes s on s.issuer = v.issuer""",
-    )
-
-
-ORACLES["hunt_unique_issuer"] = unique_issuers(10_000)
-ORACLES["hunt_unique_issuer_parts"] = unique_issuers(16)
+ORACLES["hunt_unique_issuer"] = with_inputs(
+    """select v.issuer, v.field, v.value, n."count" from issuer_values v
+join (select issuer, count(distinct issuer) as "count" from silver group by issuer) n on n.issuer = v.issuer""",
+    "silver",
+    issuer_values=ISSUER_VALUES,
+)
+ORACLES["hunt_issuer_counts"] = with_inputs(
+    "select issuer, "
+    + ", ".join(f"count(distinct {name}) as {name}" for name in SETS)
+    + """, count(distinct issuer) as "count" from silver where issuer is not null group by issuer""",
+    "silver",
+)
 ORACLES["hunt_issuer_values"] = with_inputs(ISSUER_VALUES, "silver")
 ORACLES["hunt_single_subject_issuer"] = with_inputs(
     """select issuer, min(subject) as subject, count(subject) as certificates from silver
@@ -228,8 +217,8 @@ def entropy_views(source: str, key: str, text: str) -> dict[str, str]:
     return {
         "chars": f"select {key} as k, unnest(string_split({text}, '')) as ch from {source}",
         "counts": "select k, count(*) as c from chars where ch <> '' group by k, ch",
-        "scores": """select k, round(greatest(log2(sum(c)) - sum(c * log2(c)) / sum(c), 0.0), 6) as score
-from counts group by k""",
+        "scores": """select k, round(abs(-sum(p * log2(p))), 6) as score
+from (select k, c / sum(c) over (partition by k) as p from counts) s group by k""",
     }
 
 

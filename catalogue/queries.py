@@ -25,7 +25,6 @@ from huntlake.streaming.fanout import fan_out
 
 NAMESPACE = "huntlake_checks"
 MESSAGE_SCHEMA = "value binary, topic string, partition int, offset bigint"
-PART_VALUES = 16
 SILVER_TABLES = (*(route.table for route in rules.ROUTES), events.WIDE_TABLE)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,18 +222,14 @@ def certs_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- hunts -------------------------------------------------------------------
 
 
-def joined_sets(found: DataFrame) -> DataFrame:
-    return found.withColumns({name: F.concat_ws(",", name) for name in hunts.ISSUER_SETS})
-
-
 @register
 def hunt_unique_issuer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joined_sets(hunts.unique_issuers(silver(spark, sf_dir)))
+    return hunts.unique_issuers(silver(spark, sf_dir))
 
 
 @register
-def hunt_unique_issuer_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joined_sets(hunts.unique_issuers(silver(spark, sf_dir), set_row_values=PART_VALUES))
+def hunt_issuer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hunts.issuer_counts(silver(spark, sf_dir))
 
 
 @register

@@ -13,6 +13,7 @@ from huntlake.operators.enrich import (
 from huntlake.operators.hunts import (
     blacklisted,
     high_entropy_names,
+    issuer_counts,
     issuer_values,
     short_issuers,
     single_subject_issuers,
@@ -92,6 +93,7 @@ __all__ = [
     "flatten",
     "flatten_events",
     "high_entropy_names",
+    "issuer_counts",
     "issuer_values",
     "list_partitions",
     "message_text",

@@ -32,13 +32,11 @@ HIGH_ENTROPY = 1.5
 # One certificate is seen between many address pairs; these split its equal rows in a sort.
 OBSERVATION = ("src_ip", "dest_ip")
 
-SET_ROW_VALUES = 10_000
-
 
 def issuer_values(certs: DataFrame) -> DataFrame:
     """Distinct ``(issuer, field, value)`` over the six fields of interest.
 
-    The long form of the unique-issuer hunt. It is grouped by all three columns,
+    It is grouped by all three columns,
     so an issuer with a large share of all certificates is spread over many
     tasks, and copies are removed before the shuffle. A NULL value stands for
     "some certificate lacks the field".
@@ -51,38 +49,25 @@ def issuer_values(certs: DataFrame) -> DataFrame:
     )
 
 
-def unique_issuers(certs: DataFrame, set_row_values: int = SET_ROW_VALUES) -> DataFrame:
-    """Per issuer the sorted distinct values of six fields, and ``count`` = 1.
+def unique_issuers(certs: DataFrame) -> DataFrame:
+    """Every distinct ``(issuer, field, value)`` of the six fields, with ``count`` = 1.
 
-    ``count`` is the number of distinct issuers in the group, so only the NULL
-    issuer is left out, and it is the same for all rows: any row order is sorted
-    by it. An issuer has one row with ``part`` 0, unless one of its sets exceeds
-    ``set_row_values``. Then its values are dealt by hash over as many rows as
-    keep the sets near that size; together they hold every value exactly once.
+    The sets of an issuer are rows and not arrays, so the answer has one shape
+    at every size, and an issuer of any size is in no single task or row.
+    ``count`` is the number of distinct issuers in an issuer's group, so only
+    the NULL issuer is left out, and any row order is sorted by it.
     """
-    values = issuer_values(certs)
-    sizes = [F.count(F.when(F.col("field") == name, F.col("value"))) for name in ISSUER_SETS]
-    large = (
-        values.groupBy("issuer")
-        .agg(F.ceil(F.greatest(*sizes) / set_row_values).alias("parts"))
-        .filter(F.col("parts") > 1)
-    )
-    dealt = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("bigint") % F.col("parts")
-    parted = values.join(large, "issuer", "left").select(
-        "issuer",
-        F.when(F.col("parts").isNotNull() & F.col("value").isNotNull(), dealt.cast("int"))
-        .otherwise(F.lit(0))
-        .alias("part"),
-        "field",
-        "value",
-    )
-    # The join may leave the rows partitioned by issuer alone, which would satisfy the grouping
-    # and bring a large issuer back to one task; so they are partitioned by both keys here.
-    return parted.repartition("issuer", "part").groupBy("issuer", "part").agg(
-        *(
-            F.sort_array(F.collect_list(F.when(F.col("field") == name, F.col("value")))).alias(name)
-            for name in ISSUER_SETS
-        ),
+    return issuer_values(certs).withColumn("count", F.lit(1).cast("bigint"))
+
+
+def issuer_counts(certs: DataFrame) -> DataFrame:
+    """One row per issuer: how many distinct values each of the six fields has, and ``count`` = 1.
+
+    NULL is no value. The values of a large issuer are made distinct and counted
+    in many tasks before its few partial counts meet.
+    """
+    return issuer_values(certs).groupBy("issuer").agg(
+        *(F.count(F.when(F.col("field") == name, F.col("value"))).alias(name) for name in ISSUER_SETS),
         F.lit(1).cast("bigint").alias("count"),
     )
 

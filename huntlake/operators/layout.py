@@ -7,17 +7,19 @@ from collections.abc import Iterable, Sequence
 from typing import Any
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StructType
 
 from huntlake.functions.names import field, quoted, text_literal
 
 # Fixed value: accepted share of false positives in a bloom filter.
 BLOOM_FALSE_POSITIVES = 0.1
 
-# Values expected in one row group. Parquet keeps a filter per row group, so this
-# is not the size of the table.
-BLOOM_ROW_GROUP_VALUES = 1_000_000
+# Bytes that one filter may take at most. Parquet keeps a filter per row group and
+# column, and picks the smallest size that holds the values it has seen.
+BLOOM_MOST_BYTES = 1 << 20
 
 ZORDER_BITS = 6
 BOUNDS_SAMPLE_ROWS = 5_000
@@ -28,16 +30,16 @@ STREAM_LOG = "_spark_metadata"
 
 def bloom_options(
     columns: Iterable[str],
-    expected_values: int = BLOOM_ROW_GROUP_VALUES,
     false_positives: float = BLOOM_FALSE_POSITIVES,
+    most_bytes: int = BLOOM_MOST_BYTES,
 ) -> dict[str, str]:
-    """Parquet write options that add a bloom filter to each of ``columns``."""
-    options = {}
-    for name in columns:
-        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
-        options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(expected_values)
-        options[f"parquet.bloom.filter.fpp#{name}"] = str(false_positives)
-    return options
+    """Parquet write options that add a bloom filter to each of ``columns``, sized by the values in each row group."""
+    options = {
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(most_bytes),
+        "parquet.bloom.filter.fpp": str(false_positives),
+    }
+    return options | {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
 
 
 def zorder(
@@ -76,8 +78,9 @@ def optimize_table(
 ) -> str:
     """Compact and Z-order a catalog table, or the partitions chosen by ``where``.
 
-    ``where`` may name partition columns only, and ``options`` are write options
-    such as ``bloom_options``. A Delta table is handed to Delta's own command.
+    ``where`` may name partition columns only, so that whole partitions are
+    rewritten; anything else raises before a file is written. ``options`` are
+    write options such as ``bloom_options``. A Delta table is handed to Delta's own command.
     The files of a Parquet table are rewritten to a new directory beside the old
     one, and the catalog is then pointed to it; the old files are left for
     running readers and are not deleted. Nobody may append to the chosen
@@ -96,6 +99,8 @@ def optimize_table(
     if _exists(spark, f"{location}/{STREAM_LOG}"):
         raise ValueError(f"{name} is written by a stream and cannot be moved to a new directory")
     partition_by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if where:
+        _check_partition_filter(spark, name, partition_by, where)
     moved = _partitions(spark, name, partition_by, where) if partition_by else {}
     table = spark.table(name)
     rows = (table.filter(where) if where else table).select("*", F.col("_metadata.row_index").alias("_row_index"))
@@ -111,6 +116,17 @@ def optimize_table(
     return target
 
 
+def _check_partition_filter(spark: SparkSession, name: str, partition_by: Sequence[str], where: str) -> None:
+    """Raise unless ``where`` can be told from the partition columns alone: a part of a partition would replace it."""
+    columns = [item for item in spark.table(name).schema.fields if item.name in partition_by]
+    try:
+        if not columns:
+            raise ValueError(f"{name} has no partitions that {where!r} could choose")
+        spark.createDataFrame([], StructType(columns)).filter(where)
+    except AnalysisException as error:
+        raise ValueError(f"{where!r} names more than the partition columns {list(partition_by)} of {name}") from error
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
@@ -139,17 +155,26 @@ def _partitions(
 def _range_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[Any]]:
     """Up to ``buckets - 1`` distinct quantiles per column.
 
-    Taken from a sample of about ``BOUNDS_SAMPLE_ROWS`` rows whatever the table
-    size. The sample decides where rows lie, never which rows there are.
+    Numbers take theirs from one aggregate over all rows, and other types from
+    the values of about ``BOUNDS_SAMPLE_ROWS`` rows with the smallest hashes.
+    They decide where rows lie, never which rows there are.
     """
-    total = df.count()
-    fraction = min(1.0, BOUNDS_SAMPLE_ROWS / total) if total else 1.0
-    picked = df.select(*(field(name) for name in columns)).sample(fraction, seed=11).collect()
-    bounds = {}
-    for position, name in enumerate(columns):
-        ranked = sorted(row[position] for row in picked if row[position] is not None)
-        cuts = (ranked[len(ranked) * step // buckets] for step in range(1, buckets)) if ranked else ()
-        bounds[name] = list(dict.fromkeys(cuts))
+    shares = [step / buckets for step in range(1, buckets)]
+    kinds = {item.name: item.dataType for item in df.select(*(field(name).alias(name) for name in columns)).schema.fields}
+    numbers = [name for name in columns if isinstance(kinds[name], NumericType)]
+    others = [name for name in columns if name not in numbers]
+    bounds: dict[str, list[Any]] = {}
+    if numbers:
+        row = df.agg(*(F.percentile_approx(field(name), shares, BOUNDS_SAMPLE_ROWS) for name in numbers)).first()
+        bounds |= {name: list(dict.fromkeys(row[at] or ())) for at, name in enumerate(numbers)}
+    if others:
+        draw = F.xxhash64(*(field(name) for name in df.columns))
+        picked = df.select(*(field(name) for name in others), draw.alias("_draw")).orderBy("_draw").limit(BOUNDS_SAMPLE_ROWS)
+        rows = picked.collect()
+        for at, name in enumerate(others):
+            ranked = sorted(row[at] for row in rows if row[at] is not None)
+            cuts = (ranked[len(ranked) * step // buckets] for step in range(1, buckets)) if ranked else ()
+            bounds[name] = list(dict.fromkeys(cuts))
     return bounds
 
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,22 +19,31 @@ PARALLEL_WRITES = 4
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    In local mode, where driver and executors are one process, a temporary
-    folder stands in when the setting is absent; on a cluster that is an error.
+    Without the setting this is an error in every mode: a folder made up here
+    would be another one after a restart.
     """
     folder = spark.conf.get(SHARED_FOLDER_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SHARED_FOLDER_SETTING} to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="huntlake-")
+    if not folder:
+        raise ValueError(f"set {SHARED_FOLDER_SETTING} to a folder that the driver and all executors can reach")
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has been written to."""
+    """A path that nothing has been written to, for results that outlive no session.
+
+    It lies in the shared folder. Where that is unset and driver and executors
+    are one process, as in tests, a temporary folder of the process stands in.
+    """
+    if not spark.conf.get(SHARED_FOLDER_SETTING, None) and spark.sparkContext.master.startswith("local["):
+        return f"{_process_folder()}/{label}-{uuid.uuid4().hex}"
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=1)
+def _process_folder() -> str:
+    return tempfile.mkdtemp(prefix="huntlake-")
+
+
 @contextmanager
 def shared(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` for several actions and release it at the end, also after an error."""

@@ -83,7 +83,7 @@ def append_table(
     if balanced and partition_by:
         df = balance(df, partition_by)
     writer = batch_writer(df, partition_by, "append", fmt).options(**(options or {}))
-    if path:
+    if path and not spark.catalog.tableExists(name):  # an existing table may have been moved since
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 

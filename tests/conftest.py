@@ -24,6 +24,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="huntlake-shared-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="huntlake-warehouse-"))
         .getOrCreate()
     )

@@ -43,61 +43,49 @@ def expected_sets(certs):
     return dict(sets)
 
 
-def test_unique_issuers_one_row_each(skewed):
+def test_unique_issuers_hold_every_value_once(skewed):
     found = hunts.unique_issuers(skewed).collect()
-    expected = expected_sets(skewed)
-    assert {r["issuer"] for r in found} == set(expected) and len(found) == len(expected)
-    for row in found:
-        assert row["part"] == 0 and row["count"] == 1
-        for name in hunts.ISSUER_SETS:
-            assert row[name] == sorted(expected[row["issuer"]][name])
-
-
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_large_issuers_come_in_parts_that_hold_everything_once(skewed, settings, threshold):
-    settings(spark__sql__autoBroadcastJoinThreshold=threshold)
-    found = hunts.unique_issuers(skewed, set_row_values=100).collect()
-    expected = expected_sets(skewed)
     gathered = defaultdict(lambda: {name: [] for name in hunts.ISSUER_SETS})
     for row in found:
-        for name in hunts.ISSUER_SETS:
-            assert len(row[name]) < 200
-            assert row[name] == sorted(row[name])
-            gathered[row["issuer"]][name] += row[name]
+        assert row["count"] == 1
+        if row["value"] is not None:
+            gathered[row["issuer"]][row["field"]].append(row["value"])
+    expected = expected_sets(skewed)
     assert set(gathered) == set(expected)
     for issuer, sets in expected.items():
-        for name, values in sets.items():
-            assert sorted(gathered[issuer][name]) == sorted(values)
-    assert {r["part"] for r in found if r["issuer"] == "hot"} == set(range(10))
-    assert {r["part"] for r in found if r["issuer"] == "i1"} == {0}
+        assert {name: sorted(values) for name, values in gathered[issuer].items()} == {n: sorted(v) for n, v in sets.items()}
 
 
-def test_parts_of_an_issuer_are_separate_shuffle_groups(skewed, settings, plan):
-    """Also where the join leaves the rows partitioned by issuer."""
-    settings(spark__sql__autoBroadcastJoinThreshold="-1")
-    text = plan(hunts.unique_issuers(skewed))
-    assert text.index("Exchange hashpartitioning(issuer") < text.index("SortMergeJoin")
+@pytest.mark.parametrize("values", [3, 30_000])
+def test_one_shape_at_every_size(spark, values):
+    certs = spark.range(values).selectExpr(
+        "'one' as issuer", "concat('s', id) as subject", *(f"'x' as {name}" for name in hunts.ISSUER_SETS[1:])
+    )
+    found = hunts.unique_issuers(certs)
+    assert found.columns == ["issuer", "field", "value", "count"]
+    assert found.count() == values + len(hunts.ISSUER_SETS) - 1
+    assert found.groupBy("issuer", "field", "value").count().filter("count > 1").isEmpty()
+    (row,) = hunts.issuer_counts(certs).collect()
+    assert row.asDict() == {"issuer": "one", "subject": values, "count": 1} | {name: 1 for name in hunts.ISSUER_SETS[1:]}
 
 
-def test_distinct_values_are_computed_once(skewed, tmp_path):
+def test_unique_issuers_take_one_shuffle_and_one_scan(skewed, tmp_path, plan):
     skewed.write.parquet(str(tmp_path / "certs"))
-    certs = skewed.sparkSession.read.parquet(str(tmp_path / "certs"))
+    text = plan(hunts.unique_issuers(skewed.sparkSession.read.parquet(str(tmp_path / "certs"))))
+    assert text.count("Exchange") == 1 and text.count("FileScan") == 1 and "Join" not in text
 
-    def final_plan(found):
-        found.collect()
-        return found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
-    parted = final_plan(hunts.unique_issuers(certs, set_row_values=100))
-    assert "ReusedExchange" in parted and parted.count("FileScan") == 1
-    # without large issuers the join is dropped while the query runs
-    whole = final_plan(hunts.unique_issuers(certs))
-    assert "Join" not in whole and whole.count("FileScan") == 1
+def test_issuer_counts(skewed):
+    expected = {issuer: {name: len(v) for name, v in sets.items()} for issuer, sets in expected_sets(skewed).items()}
+    found = {r["issuer"]: {name: r[name] for name in hunts.ISSUER_SETS} for r in hunts.issuer_counts(skewed).collect()}
+    assert found == expected
 
 
 def test_issuer_without_any_value_is_kept(spark):
-    found = hunts.unique_issuers(certificates(spark, {"issuer": "bare"}, {"subject": "no issuer"})).collect()
-    assert len(found) == 1 and found[0]["issuer"] == "bare"
-    assert all(found[0][name] == [] for name in hunts.ISSUER_SETS)
+    certs = certificates(spark, {"issuer": "bare"}, {"subject": "no issuer"})
+    assert {(r["issuer"], r["value"]) for r in hunts.unique_issuers(certs).collect()} == {("bare", None)}
+    (row,) = hunts.issuer_counts(certs).collect()
+    assert row["issuer"] == "bare" and all(row[name] == 0 for name in hunts.ISSUER_SETS)
 
 
 def test_single_subject_issuers(spark):

@@ -89,15 +89,16 @@ def test_optimize_partitioned_table_and_slice(spark, points, tmp_path):
 
 
 def test_bloom_options_reach_the_files(spark, tmp_path):
-    assert bloom_options(["a:b"], 1000) == {
+    assert bloom_options(["a:b"]) == {
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": "1048576",
+        "parquet.bloom.filter.fpp": "0.1",
         "parquet.bloom.filter.enabled#a:b": "true",
-        "parquet.bloom.filter.expected.ndv#a:b": "1000",
-        "parquet.bloom.filter.fpp#a:b": "0.1",
     }
     # distinct values, so that the column is not dictionary encoded all through
     frame = spark.range(0, 200_000, 1, 1).selectExpr("sha1(cast(id as string)) as k", "sha1(cast(-id as string)) as o")
     path = str(tmp_path / "bloom")
-    frame.write.options(**bloom_options(["k"], 200_000)).parquet(path)
+    frame.write.options(**bloom_options(["k"])).parquet(path)
 
     jvm = spark._jvm
     (file,) = (tmp_path / "bloom").glob("*.parquet")
@@ -112,3 +113,40 @@ def test_bloom_options_reach_the_files(spark, tmp_path):
         reader.close()
     assert offsets[0] > 0 and offsets[1] < 0
     assert spark.read.parquet(path).filter("k = sha1('7')").count() == 1
+
+
+def test_where_on_an_unpartitioned_table_is_refused(spark, points, tmp_path):
+    append_table(points, "unit.plain", "bronze", path=str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="no partitions"):
+        optimize_table(spark, "unit.plain", ["user"], where="id < 10")
+    assert spark.table("unit.plain").count() == 4000
+
+
+def test_where_on_other_than_partition_columns_is_refused(spark, points, tmp_path):
+    parted = points.withColumn("day", F.col("id") % 3)
+    append_table(parted, "unit.chosen", "bronze", ["day"], path=str(tmp_path / "chosen"))
+    with pytest.raises(ValueError, match="partition columns"):
+        optimize_table(spark, "unit.chosen", ["user"], where="day = 1 and n < 5")
+    optimize_table(spark, "unit.chosen", ["user"], where="day = 1")
+    assert rows(spark.table("unit.chosen").select(parted.columns)) == rows(parted)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["day"]])
+def test_append_optimize_append(spark, points, tmp_path, partition_by):
+    name = f"unit.again{len(partition_by)}"
+    parted = points.withColumn("day", F.col("id") % 3)
+    for _ in range(2):
+        append_table(parted, name, "bronze", partition_by, path=str(tmp_path / "again"))
+        optimize_table(spark, name, ["user", "n"])
+    append_table(parted, name, "bronze", partition_by, path=str(tmp_path / "again"))
+    assert rows(spark.table(name).select(parted.columns)) == sorted(rows(parted) * 3, key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+@pytest.mark.parametrize("count, share", [(1_000, 2.0), (1_000_000, 0.5)])
+def test_filters_are_sized_to_the_data(spark, tmp_path, count, share):
+    data = spark.range(0, count, 1, 1).selectExpr("sha1(cast(id as string)) as user")
+    sizes = {}
+    for name, options in (("without", {}), ("with", bloom_options(["user"]))):
+        data.write.options(**options).parquet(str(tmp_path / name))
+        sizes[name] = sum(file.stat().st_size for file in (tmp_path / name).glob("*.parquet"))
+    assert sizes["without"] < sizes["with"] < (1 + share) * sizes["without"]

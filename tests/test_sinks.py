@@ -133,9 +133,13 @@ def test_shared_folder_is_the_one_the_session_names():
 
 
 def test_shared_folder_without_setting():
-    assert "huntlake-" in shared_folder(session_like("local[2]"))
+    for master in ("local[2]", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session_like(master))
+    first, second = (fresh_folder(session_like("local[2]"), "x") for _ in range(2))
+    assert first != second and first.rpartition("/")[0] == second.rpartition("/")[0]
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_like("yarn"))
+        fresh_folder(session_like("yarn"), "x")
 
 
 def test_namespace_and_use(spark):
