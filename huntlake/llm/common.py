@@ -14,6 +14,8 @@ from huntlake.sinks.shared import fresh_folder
 GAP = "[\\x20\\x09-\\x0D]+"
 #: Parts that a large group is dealt into before it is ranked.
 RANK_PARTS = 256
+#: Rows that a Python worker handles at a time.
+SLICE = 500
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -32,19 +34,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda word: word != "")
 
 
-def per_batch(make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]):
-    """A function for ``mapInArrow`` that handles one batch at a time."""
+def per_batch(make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], rows: int = SLICE):
+    """A function for ``mapInArrow`` that handles a few hundred rows at a time, so a worker holds few texts twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from make(batch)
+            for at in range(0, batch.num_rows, rows):
+                yield from make(batch.slice(at, rows))
 
     return run
 
 
-def text_bytes(column: pa.Array) -> list[bytes]:
+def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text; empty for NULL."""
-    return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+    return (value.as_py() or b"" for value in column.cast(pa.binary()))
 
 
 def ranked(df: DataFrame, group: str, order: list[str], name: str, parts: int = RANK_PARTS) -> DataFrame:

@@ -169,7 +169,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, slots: int = SLOTS, share: fl
         where = np.concatenate(list(slots_of(hashes, slots))) if len(hashes) else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(marks)], ["slot", "mask"])
 
-    placed = rates.select("gram", mask.alias("mask")).mapInArrow(per_batch(place), "slot long, mask long")
+    placed = rates.select("gram", mask.alias("mask")).mapInArrow(per_batch(place, 1 << 16), "slot long, mask long")
     held = placed.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     grams.unpersist()
     masks[held.column("slot").to_numpy()] = held.column("mask").to_numpy().view(np.uint64)

@@ -19,7 +19,7 @@ chunks and windows are compared; the result stays the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ FILTER_BITS = 1 << 27
 MOST_WINDOWS = 15
 
 
-def blocks(texts: list[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], Block]]:
+def blocks(texts: Iterable[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], Block]]:
     """Blocks of about ``BLOCK_WORDS`` words, with (row, place of its first word) of each part.
 
     A longer document is cut into parts that overlap by ``width - 1`` words: each
@@ -100,7 +100,7 @@ class KeyFilter:
             mask = (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
 
-        placed = keys.mapInArrow(per_batch(make), "word long, mask long")
+        placed = keys.mapInArrow(per_batch(make, 1 << 16), "word long, mask long")
         held = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
         words = np.zeros(FILTER_BITS >> 6, np.int64)
         words[held.column("word").to_numpy()] = held.column("mask").to_numpy()
