@@ -98,7 +98,8 @@ class Filters:
             for slot in slots_of(hashes, len(self.masks)):
                 mask &= self.masks[slot]
             total += len(hashes)
-            found += [np.count_nonzero(mask & np.uint64(1 << bit)) for bit in range(len(self.languages))]
+            for bit in range(len(self.languages)):
+                found[bit] += np.count_nonzero(mask & np.uint64(1 << bit))
         return total, found
 
     def predict(self, text: str | None, rates: np.ndarray) -> tuple[str, float]:
@@ -203,7 +204,10 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
 
 
 def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` with a language: not ``und``, and at least ``least`` of the n-grams known."""
+    """The rows of ``docs`` with a language: not ``und``, and at least ``least`` of the n-grams known.
+
+    Filters without a language accept nothing.
+    """
     sent = docs.sparkSession.sparkContext.broadcast((filters.masks.tobytes(), filters.languages))
     text_at = docs.columns.index("text")
 
