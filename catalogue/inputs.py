@@ -193,6 +193,50 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DRIFT_SCHEMA = (
+    StructType()
+    .add("id", "long")
+    .add("user", "long")
+    .add("agent", StructType().add("hostname", "string"))
+    .add("winlog", StructType().add("channel", "string"))
+    .add("@timestamp", "string")
+)
+
+
+def _drift_fields() -> list[Column]:
+    return [F.col("event_id").alias("id"), F.struct(F.col("event_type").alias("channel")).alias("winlog")]
+
+
+def drifted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose ``user`` is text in every fifth, with a new field in every seventh and garbage in every eleventh."""
+    number, key = F.col("user_id").alias("user"), F.col("event_id")
+    value = (
+        F.when(key % 11 == 0, F.concat(F.lit("{not json "), key.cast("string")))
+        .when(key % 5 == 0, F.to_json(F.struct(*_drift_fields(), F.concat(F.lit("u"), "user_id").alias("user"))))
+        .when(key % 7 == 0, F.to_json(F.struct(*_drift_fields(), number, F.col("event_type").alias("later"))))
+        .otherwise(F.to_json(F.struct(*_drift_fields(), number)))
+    )
+    return _as_messages(table(spark, sf_dir, "events"), value)
+
+
+def array_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third event comes in an array with a copy that has the opposite id."""
+    number = F.col("user_id").alias("user")
+    copy = F.struct((-F.col("event_id")).alias("id"), *_drift_fields()[1:], number)
+    one = F.struct(*_drift_fields(), number)
+    value = F.when(F.col("event_id") % 3 == 0, F.to_json(F.array(one, copy))).otherwise(F.to_json(one))
+    return _as_messages(table(spark, sf_dir, "events"), value)
+
+
+def _as_messages(source: DataFrame, value: Column) -> DataFrame:
+    return source.select(
+        once(value.cast("binary")).alias("value"),
+        F.lit("drift").alias("topic"),
+        (F.col("event_id") % 8).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The well-formed events as bronze rows, without passing through JSON text."""
     return promote_event_fields(events(spark, sf_dir))

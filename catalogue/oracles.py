@@ -129,6 +129,21 @@ ORACLES["corrupt_quarantine"] = """
 select 'winlogbeat' as "_topic", cast(event_id % 8 as integer) as "_partition", event_id as "_offset",
   'not json' as "_raw"
 from events where value < 1"""
+ORACLES["payload_drift"] = """
+select case when event_id % 11 <> 0 then event_id end as id,
+  case when event_id % 11 <> 0 and event_id % 5 <> 0 then user_id end as "user",
+  case when event_id % 11 <> 0 then event_type end as channel,
+  case when event_id % 11 = 0 then null when event_id % 5 = 0 then 'u' || user_id else cast(user_id as varchar) end as raw_user,
+  case when event_id % 11 <> 0 and event_id % 5 <> 0 and event_id % 7 = 0 then event_type end as raw_later,
+  event_id % 11 = 0 or event_id % 5 = 0 as marked
+from events"""
+ORACLES["payload_array"] = """
+select event_id as id, user_id as "user", event_type as channel from events
+union all select -event_id, user_id, event_type from events where event_id % 3 = 0"""
+ORACLES["bronze_with_quarantine"] = """
+select event_id as "_offset", case when event_id % 11 <> 0 then event_id end as id,
+  case when event_id % 11 = 0 then '{not json ' || event_id end as garbage
+from events"""
 ORACLES["topic_schema"] = (
     """
 with fields as (select unnest(['@timestamp', 'message', 'agent:hostname', 'event:action', 'log:level',

@@ -108,7 +108,7 @@ def src_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def payload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = inputs.messages(spark, sf_dir)
-    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir))
+    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop")
     return joined_lines(shape.flatten_events(bronze).drop("_ingest_time"))
 
 
@@ -117,6 +117,41 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.quarantine(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir))
 
 
+@register
+def payload_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages some of whose fields have another type than the schema, or are not in it."""
+    bronze = events.bronze_events(inputs.drifted_messages(spark, sf_dir), inputs.DRIFT_SCHEMA)
+    return bronze.select(
+        F.col("id"),
+        F.col("user"),
+        F.col("winlog.channel").alias("channel"),
+        F.get_json_object("_raw", "$.user").alias("raw_user"),
+        F.get_json_object("_raw", "$.later").alias("raw_later"),
+        F.col("_corrupt_record").isNotNull().alias("marked"),
+    )
+
+
+@register
+def payload_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that hold several events each."""
+    bronze = events.bronze_events(inputs.array_messages(spark, sf_dir), inputs.DRIFT_SCHEMA, corrupt="drop")
+    return bronze.select("id", "user", F.col("winlog.channel").alias("channel"))
+
+
+@register
+def bronze_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and quarantine of one decode, both written; every message is in one of them."""
+    good, bad = (fresh_folder(spark, f"bronze_with_quarantine_{kind}") for kind in ("good", "bad"))
+    messages = inputs.drifted_messages(spark, sf_dir)
+    with events.ingested(messages, inputs.DRIFT_SCHEMA) as (bronze, quarantined):
+        bronze.select("_offset", "id").write.parquet(good)
+        quarantined.select("_offset", "_raw").write.parquet(bad)
+    kept = spark.read.parquet(good).select("_offset", "id", F.lit(None).cast("string").alias("garbage"))
+    return kept.unionByName(
+        spark.read.parquet(bad).select("_offset", F.lit(None).cast("bigint").alias("id"), F.col("_raw").alias("garbage"))
+    )
+
+
 @register
 def topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = payload.capture_schema(inputs.messages(spark, sf_dir))
@@ -336,7 +371,7 @@ def silver_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_bronze(spark: SparkSession, sf_dir: str, table: str) -> str:
     name, path = fresh_table(spark, table)
-    bronze = events.bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir))
+    bronze = events.bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop")
     tables.append_table(bronze, name, "bronze", events.BRONZE_PARTITIONS, path=path, balanced=True)
     return name
 
@@ -420,7 +455,7 @@ def message_stream(spark: SparkSession, sf_dir: str, label: str) -> tuple[DataFr
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, root = message_stream(spark, sf_dir, "stream_bronze")
     name, _ = fresh_table(spark, "stream_bronze")
-    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir))
+    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop")
     stream_to_table(
         bronze, name, "bronze", events.BRONZE_PARTITIONS, checkpoint_root=root, path=f"{root}/table"
     ).awaitTermination()
@@ -434,7 +469,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table in SILVER_TABLES:
         fresh_table(spark, table)
     fan_out(
-        events.bronze_events(messages, inputs.payload_schema(spark, sf_dir)),
+        events.bronze_events(messages, inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop"),
         events.silver_tables,
         NAMESPACE,
         "stream_fanout",
@@ -451,7 +486,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, _ = fresh_table(spark, "stream_silver_bronze")
     for table in SILVER_TABLES:
         fresh_table(spark, table)
-    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir))
+    bronze = events.bronze_events(messages, inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop")
     stream_to_table(
         bronze, name, "bronze", events.BRONZE_PARTITIONS, checkpoint_root=root, path=f"{root}/bronze"
     ).awaitTermination()

@@ -26,6 +26,7 @@ from huntlake.plans.certificates import build_tables, certificates_silver
 from huntlake.plans.events import (
     append_silver,
     bronze_events,
+    ingested,
     optimize_silver,
     quarantine,
     route_events,
@@ -93,6 +94,7 @@ __all__ = [
     "flatten",
     "flatten_events",
     "high_entropy_names",
+    "ingested",
     "issuer_counts",
     "issuer_values",
     "list_partitions",

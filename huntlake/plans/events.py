@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +16,9 @@ from huntlake.operators.ingest import add_ingest_time, promote_event_fields
 from huntlake.operators.layout import bloom_options, optimize_table
 from huntlake.operators.shape import flatten_events
 from huntlake.plans.rules import EVENT_ID, ROUTES, SYSMON_CHANNEL, Route
-from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel
+from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
 from huntlake.sinks.tables import append_table
-from huntlake.sources.payload import corrupt_records, decode_json, drop_corrupt, message_text
+from huntlake.sources.payload import CORRUPT, RAW, decode_json, is_garbage, message_elements, message_text
 
 BRONZE_PARTITIONS = ("_event_date", "_sourcetype")
 WIDE_TABLE = "all_silver"
@@ -26,23 +28,56 @@ CLUSTER_COLUMNS = {route.table: route.cluster_columns for route in ROUTES} | {WI
 
 
 def bronze_events(
-    messages: DataFrame, schema: StructType, keep_raw: bool = False, keep_coordinates: bool = False
+    messages: DataFrame,
+    schema: StructType,
+    keep_raw: bool = True,
+    keep_coordinates: bool = False,
+    corrupt: str = "keep",
 ) -> DataFrame:
-    """Kafka-like messages (a ``value`` column) to bronze rows; malformed messages are dropped.
-
-    Valid on batch and streaming frames. ``keep_raw`` and ``keep_coordinates``
-    are those of ``decode_json``.
+    """Kafka-like messages (a ``value`` column) to bronze rows; nothing is lost by default.
+
+    A message that is an array gives one row per element. A field of another
+    type than ``schema`` is NULL and its event stays. With ``keep_raw`` the text
+    of every message is kept, so that such fields, and fields outside
+    ``schema``, can be read again. ``corrupt`` says what becomes of messages
+    that are not JSON: ``keep`` leaves them as rows and adds the column
+    ``_corrupt_record``, ``drop`` leaves them out (``quarantine`` gives them).
+    Valid on batch and streaming frames.
     """
+    if corrupt not in ("keep", "drop"):
+        raise ValueError(f"corrupt must be 'keep' or 'drop', not {corrupt!r}; see ingested() for both kinds at once")
     decoded = decode_json(
-        message_text(messages), schema, keep_raw=keep_raw, keep_coordinates=keep_coordinates
+        message_elements(message_text(messages)), schema, keep_raw=keep_raw, keep_coordinates=keep_coordinates
     )
-    return promote_event_fields(add_ingest_time(drop_corrupt(decoded)))
+    return _bronze(decoded, corrupt)
+
+
+def _bronze(decoded: DataFrame, corrupt: str) -> DataFrame:
+    if corrupt == "drop":
+        decoded = decoded.filter(~is_garbage()).drop(CORRUPT)
+    return promote_event_fields(add_ingest_time(decoded))
 
 
 def quarantine(messages: DataFrame, schema: StructType) -> DataFrame:
-    """The malformed messages: their text and where in the topic they are."""
-    decoded = decode_json(message_text(messages), schema, keep_raw=True, keep_coordinates=True)
-    return corrupt_records(decoded).select("_topic", "_partition", "_offset", "_raw")
+    """The messages that are not JSON: their text and where in the topic they are."""
+    decoded = decode_json(message_elements(message_text(messages)), schema, keep_raw=True, keep_coordinates=True)
+    return _quarantined(decoded)
+
+
+def _quarantined(decoded: DataFrame) -> DataFrame:
+    return decoded.filter(is_garbage()).select("_topic", "_partition", "_offset", RAW)
+
+
+@contextmanager
+def ingested(messages: DataFrame, schema: StructType) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Bronze rows and quarantined messages of one batch, from one read and one decode.
+
+    Both frames are valid inside the ``with`` block, during which the decoded
+    messages are kept; together they hold every message that is not empty.
+    """
+    decoded = decode_json(message_elements(message_text(messages)), schema, keep_raw=True, keep_coordinates=True)
+    with shared(decoded) as kept:
+        yield _bronze(kept, "drop"), _quarantined(kept)
 
 
 def route_events(flat_events: DataFrame, route: Route) -> DataFrame:

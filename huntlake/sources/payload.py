@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -31,8 +31,9 @@ def decode_json(
 ) -> DataFrame:
     """Decode JSON text into the columns of ``schema`` plus ``_corrupt_record``.
 
-    ``_corrupt_record`` holds the text of a malformed message and is NULL for a
-    good one. ``keep_raw`` also keeps the text of every message as ``_raw``, so
+    ``_corrupt_record`` holds the text of a message that is malformed or has a
+    field of another type than ``schema``; in the second case only that field is
+    NULL and the others are decoded. It is NULL for a good message. ``keep_raw`` also keeps the text of every message as ``_raw``, so
     that fields outside ``schema`` can be read again later. ``keep_coordinates``
     keeps topic, partition and offset as ``_topic``, ``_partition``, ``_offset``.
     """
@@ -49,6 +50,27 @@ def decode_json(
     )
 
 
+def message_elements(messages: DataFrame, value: str = "value") -> DataFrame:
+    """One row per element for messages that are a JSON array; other messages stay as they are.
+
+    An array that is not well-formed, or empty, stays one message.
+    """
+    text = field(value)
+    elements = F.transform(
+        F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"), lambda element: F.to_json(element)
+    )
+    parts = F.when(text.rlike(r"^\s*\["), elements)
+    whole = F.when(F.size(parts) > 0, parts).otherwise(F.array(text))
+    others = [field(name).alias(name) for name in messages.columns if name != value]
+    return messages.select(*others, F.explode(whole).alias(value)).select(*map(field, messages.columns))
+
+
+def is_garbage() -> Column:
+    """Whether a decoded message is no JSON at all; one with a field of another type is not garbage."""
+    text = F.col(CORRUPT)
+    return text.isNotNull() & F.try_parse_json(text).isNull()
+
+
 def drop_corrupt(decoded: DataFrame) -> DataFrame:
     """Keep the well-formed messages. A frame without the marker column is returned as it is."""
     if CORRUPT not in decoded.columns:

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from huntlake.functions.names import quoted
 from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
-from huntlake.sinks.tables import create_table
+from huntlake.sinks.tables import create_table, fit_to_table
 from huntlake.streaming.append import AVAILABLE_NOW, checkpoint_path
 
 BATCH = "_batch"
@@ -34,7 +33,10 @@ def fan_out(
     A micro-batch is read and decoded once, kept for the duration of its writes
     (``at_once`` at a time) and then released. Each write replaces the table partitions of its own batch
     (column ``_batch``), so a batch that is run again after a failure leaves its
-    rows once in every table. The price is one table partition per batch and
+    rows once in every table. A table takes up columns that it does not have
+    yet, for instance after a restart with more of them. The first batch over a
+    long backlog is as large as the source allows: bound it with the source's
+    option for offsets or files per trigger. The price is one table partition per batch and
     day, so the trigger should be minutes rather than seconds, and long-lived
     tables are better fed from bronze by ``stream_tables``.
     """
@@ -52,7 +54,7 @@ def fan_out(
         def replace(name: str, frame: DataFrame) -> None:
             table = f"{namespace}.{name}"
             marked = frame.withColumn(BATCH, F.lit(f"{query_id}-{batch_id}"))
-            marked.select(*map(quoted, session.table(table).columns)).write.insertInto(table, overwrite=True)
+            fit_to_table(marked, table).write.insertInto(table, overwrite=True)
 
         with shared(batch) as events:
             in_parallel(session, (partial(replace, *item) for item in tables(events).items()), at_once)

@@ -15,7 +15,7 @@ from huntlake.sinks.tables import append_table
 @pytest.fixture(scope="module")
 def bronze_table(spark, sf_dir, tmp_path_factory):
     spark.sql("drop table if exists unit.bronze")
-    bronze = bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir))
+    bronze = bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop")
     path = str(tmp_path_factory.mktemp("bronze") / "t")
     append_table(bronze, "unit.bronze", "bronze", BRONZE_PARTITIONS, path=path, balanced=True)
     return spark.table("unit.bronze")
@@ -24,7 +24,7 @@ def bronze_table(spark, sf_dir, tmp_path_factory):
 def test_payload_round_trip(spark, sf_dir):
     """The stand-in events equal what decoding their JSON messages gives."""
     direct = inputs.events(spark, sf_dir)
-    decoded = bronze_events(inputs.messages(spark, sf_dir), direct.schema).select(*map(field, direct.columns))
+    decoded = bronze_events(inputs.messages(spark, sf_dir), direct.schema, keep_raw=False, corrupt="drop").select(*map(field, direct.columns))
     ids = decoded.select("rid")
     assert rows(decoded.select("rid", F.to_json("winlog"))) == rows(
         direct.join(ids, "rid", "left_semi").select("rid", F.to_json("winlog"))
@@ -32,7 +32,7 @@ def test_payload_round_trip(spark, sf_dir):
 
 
 def test_bronze_is_map_only(spark, sf_dir, plan):
-    text = plan(bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir)))
+    text = plan(bronze_events(inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir), keep_raw=False, corrupt="drop"))
     assert "Exchange" not in text and "Python" not in text
 
 

@@ -41,7 +41,7 @@ def test_append_equals_batch_and_resumes(spark, sf_dir, tmp_path, topic):
 
     def run():
         stream_to_table(
-            bronze_events(topic.stream(), schema),
+            bronze_events(topic.stream(), schema, keep_raw=False, corrupt="drop"),
             "unit.stream",
             "bronze",
             BRONZE_PARTITIONS,
@@ -56,7 +56,7 @@ def test_append_equals_batch_and_resumes(spark, sf_dir, tmp_path, topic):
     assert run().count() == first
     topic(2)
     topic(3)
-    batch = bronze_events(inputs.messages(spark, sf_dir), schema)
+    batch = bronze_events(inputs.messages(spark, sf_dir), schema, keep_raw=False, corrupt="drop")
     expected = rows(batch.select("rid", "_event_date", "_sourcetype", "winlog"))
     assert 0 < first < len(expected)
     assert rows(run()) == expected
@@ -105,7 +105,7 @@ def test_fan_out_equals_batch_and_survives_a_failed_batch(spark, sf_dir, tmp_pat
 
     def run():
         query = fan_out(
-            bronze_events(topic.stream(), schema),
+            bronze_events(topic.stream(), schema, keep_raw=False, corrupt="drop"),
             tables,
             "unit_fan",
             "fan",
@@ -126,7 +126,7 @@ def test_fan_out_equals_batch_and_survives_a_failed_batch(spark, sf_dir, tmp_pat
     run()
     run()
 
-    batch = only(bronze_events(inputs.messages(spark, sf_dir), schema))
+    batch = only(bronze_events(inputs.messages(spark, sf_dir), schema, keep_raw=False, corrupt="drop"))
     found = fanned(spark, "unit_fan")
     for name, frame in batch.items():
         columns = spark.table(f"unit_fan.{name}").drop("_ingest_time", BATCH).columns
@@ -134,3 +134,23 @@ def test_fan_out_equals_batch_and_survives_a_failed_batch(spark, sf_dir, tmp_pat
     batches = {r[0] for r in spark.table("unit_fan.all_silver").select(BATCH).distinct().collect()}
     assert len(batches) == 4 and not any(b.startswith("None") for b in batches)
     assert len({b.rsplit("-", 1)[0] for b in batches}) == 1
+
+
+def test_fan_out_takes_up_columns_after_a_restart(spark, tmp_path):
+    spark.sql("create database if not exists unit_grow")
+    spark.sql("drop table if exists unit_grow.t")
+
+    def run(low, extra):
+        spark.range(low, low + 5).selectExpr("id", "'d' as _event_date").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id long, _event_date string").parquet(str(tmp_path / "in"))
+
+        def tables(frame):
+            return {"t": frame.withColumn("late", F.col("id") * 2) if extra else frame}
+
+        places = {"checkpoint_root": str(tmp_path / "check"), "path": str(tmp_path / "out")}
+        fan_out(stream, tables, "unit_grow", "grow", **places).awaitTermination()
+
+    run(0, extra=False)
+    run(10, extra=True)
+    expected = [(i, None) for i in range(5)] + [(i, 2 * i) for i in range(10, 15)]
+    assert rows(spark.table("unit_grow.t").select("id", "late")) == sorted(expected, key=lambda r: (str(r[0])))
