@@ -62,7 +62,7 @@ def message_elements(messages: DataFrame, value: str = "value") -> DataFrame:
     parts = F.when(text.rlike(r"^\s*\["), elements)
     whole = F.when(F.size(parts) > 0, parts).otherwise(F.array(text))
     others = [field(name).alias(name) for name in messages.columns if name != value]
-    return messages.select(*others, F.explode(whole).alias(value)).select(*map(field, messages.columns))
+    return messages.select(*others, F.explode_outer(whole).alias(value)).select(*map(field, messages.columns))
 
 
 def is_garbage() -> Column:
