@@ -396,4 +396,20 @@ union all
 select rid, null, winlog_event_id, task from wl""",
     "wl",
 )
+ORACLES["append_nested_table"] = with_inputs(
+    """select rid, channel as "winlog:channel", cast(null as varchar) as "winlog:event_id",
+  cast(null as varchar) as "winlog:task", 0 as part from wl
+union all
+select rid, null, winlog_event_id, null, 1 from wl
+union all
+select rid, null, winlog_event_id, task, 0 from wl""",
+    "wl",
+)
+ORACLES["stream_evolving"] = with_inputs(
+    """select rid, channel as "winlog:channel", cast(null as varchar) as "winlog:event_id",
+  cast(null as varchar) as task from wl
+union all
+select rid, channel, winlog_event_id, task from wl""",
+    "wl",
+)
 ORACLES["zorder_rewrite"] = with_inputs(f"select {WIDE.replace(' message,', '')} from wl", "wl")

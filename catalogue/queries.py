@@ -441,6 +441,20 @@ def append_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.flatten(tables.read_files(spark, path))
 
 
+@register
+def append_nested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends to one partitioned table whose struct grows, before and after an optimise."""
+    name, path = fresh_table(spark, "append_nested_table")
+    nested = inputs.events(spark, sf_dir)
+    kinds = [("winlog.channel",), ("winlog.event_id",), ("winlog.event_id", "winlog.task")]
+    for at, fields in enumerate(kinds):
+        frame = nested.select("rid", F.struct(*fields).alias("winlog"), F.lit(at % 2).alias("part"))
+        tables.append_table(frame, name, "bronze", ["part"], path=path)
+        if at == 1:
+            layout.optimize_table(spark, name, ["rid"], where="part = 0")
+    return shape.flatten(files.read_table(spark, name))
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -463,6 +477,19 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_lines(flat.drop("_ingest_time"))
 
 
+@register
+def stream_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream into a table, and its restart with a larger struct and a new column."""
+    name, path = fresh_table(spark, "stream_evolving")
+    nested = inputs.events(spark, sf_dir)
+    for fields, more in ((("winlog.channel",), ()), (("winlog.channel", "winlog.event_id"), ("winlog.task",))):
+        nested.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(nested.schema).parquet(f"{path}/in")
+        frame = stream.select("rid", F.struct(*fields).alias("winlog"), *more)
+        stream_to_table(frame, name, "bronze", checkpoint_root=path, path=f"{path}/table").awaitTermination()
+    return shape.flatten(files.read_table(spark, name))
+
+
 @register
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, root = message_stream(spark, sf_dir, "stream_fanout")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from typing import Any
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
 from huntlake.functions.names import field, quoted, text_literal
+from huntlake.sinks.growth import partition_specs, partition_values
 
 # Fixed value: accepted share of false positives in a bloom filter.
 BLOOM_FALSE_POSITIVES = 0.1
@@ -24,7 +24,6 @@ BLOOM_MOST_BYTES = 1 << 20
 ZORDER_BITS = 6
 BOUNDS_SAMPLE_ROWS = 5_000
 ZORDER_KEY = "_zorder_key"
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 STREAM_LOG = "_spark_metadata"
 
 
@@ -136,18 +135,10 @@ def _partitions(
     spark: SparkSession, name: str, partition_by: Sequence[str], where: str | None
 ) -> dict[str, str]:
     """Directory name -> SQL partition spec, for the partitions of a table that ``where`` chooses."""
-    specs, rows = {}, []
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        path = row["partition"]
-        values = [unquote(part.partition("=")[2]) for part in path.split("/")]
-        values = [None if value == HIVE_NULL else value for value in values]
-        specs[path] = ", ".join(
-            f"{quoted(column)} = " + ("null" if value is None else text_literal(value))
-            for column, value in zip(partition_by, values)
-        )
-        rows.append((path, *values))
-    if where is None or not rows:
+    specs = partition_specs(spark, name, partition_by)
+    if where is None or not specs:
         return specs
+    rows = [(path, *partition_values(path)) for path in specs]
     schema = ", ".join(f"{quoted(column)} string" for column in ("_path", *partition_by))
     return {r["_path"]: specs[r["_path"]] for r in spark.createDataFrame(rows, schema).filter(where).collect()}
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from huntlake.functions.names import column_lookup, field, quoted
+from huntlake.sinks.growth import fit_to_table
 
 TIERS = ("bronze", "silver", "gold")
 
@@ -32,20 +29,6 @@ def create_namespace(spark: SparkSession, name: str, use: bool = False) -> None:
         spark.sql(f"USE {name}")
 
 
-def create_table(
-    spark: SparkSession,
-    name: str,
-    schema: StructType,
-    partition_by: Sequence[str] = (),
-    path: str | None = None,
-    fmt: str = "parquet",
-) -> None:
-    """Create an empty table unless it exists. With ``path`` its files live there."""
-    layout = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-    place = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_nullable(schema).toDDL()}) USING {fmt}{layout}{place}")
-
-
 def balance(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a table partition together before a partitioned write.
 
@@ -68,8 +51,9 @@ def append_table(
 ) -> None:
     """Append to a bronze, silver or gold table, creating it at first.
 
-    The table takes up new columns of ``df``, and columns that ``df`` lacks are
-    filled with NULL. ``path`` places the files when the table is created.
+    The table takes up new columns of ``df`` and new fields of its structs (see
+    ``grow_table``), and those that ``df`` lacks are filled with NULL. ``path``
+    places the files when the table is created.
     """
     check_tier(tier)
     spark = df.sparkSession
@@ -88,36 +72,6 @@ def append_table(
     writer.saveAsTable(name)
 
 
-def fit_to_table(df: DataFrame, name: str) -> DataFrame:
-    """Add the new columns of ``df`` to the table, and fill in those ``df`` lacks.
-
-    Types never change: a column whose type differs from the table's raises.
-    Nested structs that grow are for ``append_files``.
-    """
-    spark = df.sparkSession
-    table = spark.table(name)
-    in_table = column_lookup(spark, table.columns)
-    # as text, types leave out whether NULL is allowed, which does not matter here
-    types = {item.name: item.dataType.simpleString() for item in table.schema.fields}
-    added = [i for i in df.schema.fields if in_table(i.name) is None]
-    changed = [
-        i.name for i in df.schema.fields if i not in added and types[in_table(i.name)] != i.dataType.simpleString()
-    ]
-    if changed:
-        raise ValueError(f"columns of {name} with another type than the table: {changed}")
-    if added:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_nullable(StructType(added)).toDDL()})")
-    in_frame = column_lookup(spark, df.columns)
-    return df.select(
-        *(
-            F.lit(None).cast(item.dataType).alias(item.name)
-            if in_frame(item.name) is None
-            else field(in_frame(item.name)).alias(item.name)
-            for item in spark.table(name).schema.fields
-        )
-    )
-
-
 def append_files(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Append to a folder of files whose schema may grow, also inside nested structs."""
     batch_writer(df, partition_by, "append", fmt).save(path)
@@ -144,11 +98,3 @@ def set_statistics_width(spark: SparkSession, columns: int = BRONZE_STATISTICS_C
 def check_tier(tier: str) -> None:
     if tier not in TIERS:
         raise ValueError(f"tier must be one of {TIERS}, not {tier!r}")
-
-
-def _nullable(schema: StructType) -> StructType:
-    """The schema with NULL allowed everywhere: a later append may lack any field."""
-    text = schema.json()
-    for flag in ("nullable", "containsNull", "valueContainsNull"):
-        text = text.replace(f'"{flag}":false', f'"{flag}":true')
-    return StructType.fromJson(json.loads(text))

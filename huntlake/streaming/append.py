@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from huntlake.functions.names import field
+from huntlake.sinks.growth import grow_table
 from huntlake.sinks.shared import shared_folder
 from huntlake.sinks.tables import check_tier
 
@@ -32,9 +34,13 @@ def stream_to_table(
 
     The default trigger processes what is there, in as many batches as the source
     options ask for, and stops; ``{"processingTime": "1 minute"}`` keeps running.
-    A restart resumes from the checkpoint, so nothing is read twice.
+    A restart resumes from the checkpoint, so nothing is read twice. The table
+    takes up new columns and fields of ``df`` when the stream starts.
     """
     check_tier(tier)
+    if fmt != "delta" and df.sparkSession.catalog.tableExists(name):
+        # partition columns never grow, and Spark guesses their types from the folder names of a stream's files
+        grow_table(df.sparkSession, name, df.drop(*map(field, partition_by)).schema)
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")

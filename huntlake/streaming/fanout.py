@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from huntlake.sinks.growth import create_table, fit_to_table
 from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
-from huntlake.sinks.tables import create_table, fit_to_table
 from huntlake.streaming.append import AVAILABLE_NOW, checkpoint_path
 
 BATCH = "_batch"

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark import StorageLevel
 
+from huntlake.operators.layout import optimize_table
 from huntlake.sinks.shared import fresh_folder, in_parallel, shared, shared_folder
 from huntlake.sinks.tables import (
     append_files,
@@ -78,6 +79,47 @@ def test_nested_growth_in_files(spark, tmp_path):
     assert rows(read_files(spark, path).selectExpr("s.a", "s.b", "n")) == [(None, "x", 7), (1, None, None)]
 
 
+def test_nested_growth_of_a_table(spark, table):
+    name, path = table
+    append_table(spark.sql("select 1 as id, named_struct('a', 1, 'l', array(named_struct('x', 1))) as s"), name, "bronze", path=path)
+    append_table(spark.sql("select 2 as id, named_struct('A', 2, 'b', 'n') as s, 'new' as t"), name, "bronze")
+    append_table(spark.sql("select 3 as id, named_struct('l', array(named_struct('y', 7), null)) as s"), name, "bronze")
+    append_table(spark.sql("select 4 as id, cast(null as struct<c: int>) as s"), name, "bronze")
+    found = spark.table(name).selectExpr("id", "s.a", "s.b", "s.l.x", "s.l.y", "s.c", "s is null", "t")
+    assert rows(found) == [
+        (1, 1, None, [1], [None], None, False, None),
+        (2, 2, "n", None, None, None, False, "new"),
+        (3, None, None, [None, None], [7, None], None, False, None),
+        (4, None, None, None, None, None, True, None),
+    ]
+
+
+def test_nested_growth_keeps_moved_partitions_and_properties(spark, table):
+    name, path = table
+    first = spark.sql("select id, named_struct('a', id) as s, 'd/' || id % 2 as day from range(6) union all select 9, null, null")
+    append_table(first, name, "bronze", ["day"], path=path)
+    spark.sql(f"alter table {name} set tblproperties ('owner team' = 'x''y')")
+    optimize_table(spark, name, ["id"], where="day = 'd/1'")
+    append_table(spark.sql("select 7L as id, named_struct('b', 'n') as s, 'd/1' as day"), name, "bronze", ["day"])
+    found = rows(spark.table(name).selectExpr("id", "s.a", "s.b", "day"))
+    assert found == rows(spark.sql(
+        "select id, id as a, cast(null as string) as b, 'd/' || id % 2 as day from range(6)"
+        " union all select 9, null, null, null union all select 7, null, 'n', 'd/1'"
+    ))
+    assert ("owner team", "x'y") in rows(spark.sql(f"show tblproperties {name}"))
+    assert not spark.catalog.tableExists(f"{name}__grown")
+
+
+def test_nested_growth_that_could_lose_files_raises(spark):
+    spark.sql("drop table if exists unit.managed")
+    append_table(spark.sql("select named_struct('a', 1) as s"), "unit.managed", "bronze")
+    with pytest.raises(ValueError, match="path"):
+        append_table(spark.sql("select named_struct('b', 1) as s"), "unit.managed", "bronze")
+    with pytest.raises(ValueError, match="s.a has another type"):
+        append_table(spark.sql("select named_struct('a', 'x') as s"), "unit.managed", "bronze")
+    assert rows(spark.table("unit.managed").select("s.a")) == [(1,)]
+
+
 def test_balanced_write_has_few_files(spark, tmp_path):
     frame = spark.range(0, 1000, 1, 8).selectExpr("id", "id % 5 as p")
     for label, balanced in (("plain", False), ("balanced", True)):

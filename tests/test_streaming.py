@@ -154,3 +154,27 @@ def test_fan_out_takes_up_columns_after_a_restart(spark, tmp_path):
     run(10, extra=True)
     expected = [(i, None) for i in range(5)] + [(i, 2 * i) for i in range(10, 15)]
     assert rows(spark.table("unit_grow.t").select("id", "late")) == sorted(expected, key=lambda r: (str(r[0])))
+
+
+def test_stream_takes_up_columns_and_fields_after_a_restart(spark, tmp_path):
+    spark.sql("drop table if exists unit.evolving")
+
+    def run(low, fields):
+        spark.range(low, low + 2).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in")).selectExpr("id", *fields, "id % 2 as p")
+        places = {"checkpoint_root": str(tmp_path / "check"), "path": str(tmp_path / "out")}
+        stream_to_table(stream, "unit.evolving", "bronze", ["p"], **places).awaitTermination()
+
+    run(0, ["named_struct('a', id) as s"])
+    run(2, ["named_struct('b', id) as s", "id as late"])
+    run(4, ["id as late"])
+    assert rows(spark.table("unit.evolving").select("id", "s.a", "s.b", "late", "p")) == [
+        (0, 0, None, None, 0),
+        (1, 1, None, None, 1),
+        (2, None, 2, 2, 0),
+        (3, None, 3, 3, 1),
+        (4, None, None, 4, 0),
+        (5, None, None, 5, 1),
+    ]
+    with pytest.raises(ValueError, match="late"):
+        run(6, ["'text' as late"])
