@@ -161,6 +161,25 @@ def test_repeated_runs_go_where_markup_tells_nothing(spark):
     assert pages.main_text(df.limit(0)).collect() == []
 
 
+def test_copies_and_shared_phrases_stay(spark):
+    own = "the only text of a page that is stored under many ids and urls of one host"
+    phrase = "a passage of more than nine words that two posts of the host quote"
+    rows = [(i, f"http://copies.org/{i}", f"<nav>seen {i} times</nav><p>{own}") for i in range(5)]
+    rows += [(10 + i, "http://copies.org/same", f"<p>{own}") for i in range(2)]
+    rows += [(20 + i, f"http://quotes.org/{i}", f"<p>{phrase}<p>post {i}") for i in range(2)]
+    rows += [(30 + i, f"http://short.org/{i}", f"<p>{i} it goes without saying that {i}") for i in range(6)]
+    rows += [(40 + i, url, f"<p>{phrase} {i}") for i, url in enumerate([None, "", "no/scheme", "other", None, "http:///x"])]
+    rows += [(100 + i, f"http://large.org/{i}", f"<p>{phrase if i < 3 else ''} text {i}</p><p>{own}</p>") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.main_text(df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == own for i in (*range(5), 10, 11))
+    assert all(got[20 + i] == f"{phrase} post {i}" for i in range(2))
+    assert all(got[30 + i] == f"{i} it goes without saying that {i}" for i in range(6))
+    assert all(got[40 + i] == f"{phrase} {i}" for i in range(6))
+    assert all(got[100 + i] == (f"{phrase} text {i}" if i < 3 else f"text {i}") for i in range(200))
+
+
 @pytest.mark.parametrize("block", [1, 7, 1000])
 def test_token_counts(spark, block):
     texts = [None, "", "one", "two words", "three more words", ""] + random_texts(9, 20, 9, 40)
