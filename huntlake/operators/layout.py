@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,19 +103,41 @@ def optimize_table(
         _check_partition_filter(spark, name, partition_by, where)
     moved = _partitions(spark, name, partition_by, where) if partition_by else {}
     table = spark.table(name)
-    rows = (table.filter(where) if where else table).select("*", F.col("_metadata.row_index").alias("_row_index"))
+    chosen = table.filter(where) if where else table
+    rows = chosen.select("*", F.col("_metadata.row_index").alias("_row_index"))
     written = zorder(rows, columns, partition_by, files, tie=["_row_index"]).drop("_row_index")
     target = f"{location}_{uuid.uuid4().hex}"
     written.write.partitionBy(*partition_by).options(**(options or {})).parquet(target)
+    folders = _check_written(spark, target, written.schema, chosen.count(), moved if partition_by else None)
 
     if not partition_by:
         spark.sql(f"ALTER TABLE {name} SET LOCATION {text_literal(target)}")
-    for path, spec in moved.items():
-        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {text_literal(f'{target}/{path}')}")
+    for path in folders:
+        spark.sql(f"ALTER TABLE {name} PARTITION ({moved[path]}) SET LOCATION {text_literal(f'{target}/{path}')}")
     spark.catalog.refreshTable(name)
     return target
 
 
+def _check_written(
+    spark: SparkSession, target: str, schema: StructType, expected: int, moved: dict[str, str] | None
+) -> list[str]:
+    """The partition folders below ``target``; raises unless they hold ``expected`` rows and are all to be moved.
+
+    A partition that has no rows has no folder and stays where it is.
+    """
+    files = spark.read.schema(schema).parquet(target).groupBy("_metadata.file_path").count().collect()
+    held = sum(row["count"] for row in files)
+    root = target.rsplit("/", 1)[1]
+    folders = {unquote(row["file_path"]).split(f"/{root}/", 1)[1].rpartition("/")[0] for row in files}
+    strange = folders - set(moved) if moved is not None else set()
+    if held != expected or strange:
+        raise RuntimeError(
+            f"{target} holds {held} rows of {expected}, and partitions that were not chosen: {sorted(strange)}; "
+            "the table is left as it was"
+        )
+    return sorted(folders) if moved is not None else []
+
+
 def _check_partition_filter(spark: SparkSession, name: str, partition_by: Sequence[str], where: str) -> None:
     """Raise unless ``where`` can be told from the partition columns alone: a part of a partition would replace it."""
     columns = [item for item in spark.table(name).schema.fields if item.name in partition_by]
@@ -140,7 +163,11 @@ def _partitions(
         return specs
     rows = [(path, *partition_values(path)) for path in specs]
     schema = ", ".join(f"{quoted(column)} string" for column in ("_path", *partition_by))
-    return {r["_path"]: specs[r["_path"]] for r in spark.createDataFrame(rows, schema).filter(where).collect()}
+    kinds = spark.table(name).schema
+    # the filter is judged on the types it has in the table: as texts, 10 lies below 5
+    typed = [field(column).cast(kinds[column].dataType).alias(column) for column in partition_by]
+    found = spark.createDataFrame(rows, schema).select("_path", *typed).filter(where)
+    return {row["_path"]: specs[row["_path"]] for row in found.collect()}
 
 
 def _range_bounds(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[Any]]:

@@ -65,7 +65,3 @@ def plan_text(df) -> str:
 @pytest.fixture
 def plan():
     return plan_text
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple((v is not None, str(v)) for v in row))

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from compare import rows
 
 from huntlake.operators.enrich import (
     broadcast_if_small,

@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from huntlake.operators import hunts

@@ -3,7 +3,7 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark import StorageLevel
 
 from huntlake.operators.layout import optimize_table

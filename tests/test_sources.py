@@ -3,7 +3,7 @@ from __future__ import annotations
 import gzip
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from huntlake.sources import (
