@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from huntlake.llm import decontaminate, language, neighbours, packing, pages, separators, sharding, simhash
-from huntlake.llm import substrings, url_rules
+from huntlake.llm import best_fit, centroids, codes, decontaminate, language, neighbours, packing, pages, separators
+from huntlake.llm import sharding, simhash, substrings, url_rules
 from huntlake.llm.common import table
 from huntlake.sinks.shared import fresh_folder
 
@@ -94,6 +94,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.summarised(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.summarised(*codes.compress(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -105,6 +117,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_packing": op9_packing,
     "op10_url_filters": op10_url_filters,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: Distinct shingles of five lower-case words of each item, and the documents that hold 80 % of an item's.
@@ -180,8 +195,100 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
 FROM kept
 """
 
+#: floor(total / count) of whole numbers; DuckDB's own division of integers truncates.
+FLOOR_MEAN = "((s - ((s % n) + n) % n) // n)"
+
+
+def _usable(scale: int, sized: str) -> str:
+    """Vectors of finite numbers as integers, told apart by ``rid``."""
+    return f"""
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::HUGEINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND {sized} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _apart(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def centroid_sql(clusters: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS, dims: int = centroids.DIMS) -> str:
+    """Each round written out: every vector against every centroid, then the floors of the means."""
+    steps = [
+        f"kept AS MATERIALIZED ({_usable(centroids.SCALE, f'len(embedding) = {dims}')}\n)",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS cluster, v
+  FROM (SELECT sha256('{centroids.SALT}' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {clusters}) t
+)""",
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f"""a{turn} AS MATERIALIZED (
+  SELECT rid, vec_id, v, cluster, d FROM (
+    SELECT rid, vec_id, v, cluster, d, row_number() OVER (PARTITION BY rid ORDER BY d, cluster) AS place
+    FROM (SELECT rid, vec_id, kept.v AS v, cluster, {_apart('kept.v', f'c{turn}.v')} AS d FROM kept, c{turn}) t
+  ) t WHERE place = 1
+)""")
+        if turn < rounds:
+            steps.append(f"""c{turn + 1} AS MATERIALIZED (
+  SELECT c{turn}.cluster, coalesce(m.v, c{turn}.v) AS v FROM c{turn} LEFT JOIN (
+    SELECT cluster, list({FLOOR_MEAN} ORDER BY i) AS v FROM (
+      SELECT cluster, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, {dims + 1})) AS i FROM a{turn}) t GROUP BY cluster, i
+    ) t GROUP BY cluster
+  ) m ON m.cluster = c{turn}.cluster
+)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT a.vec_id, a.cluster::INTEGER AS cluster, d::BIGINT AS distance,
+  (sum(d) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+
+
+def code_sql(entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS, parts: int = codes.PARTS, width: int = 16) -> str:
+    """Each round written out: every part against every entry of its position, then the floors of the means."""
+    steps = [
+        f"kept AS MATERIALIZED ({_usable(codes.SCALE, 'true')}\n)",
+        f"""parts AS MATERIALIZED (
+  SELECT rid, p, list_slice(v, p * {width} + 1, p * {width} + {width}) AS x FROM kept, (SELECT unnest(range({parts})) AS p) t
+)""",
+        f"""b0 AS MATERIALIZED (
+  SELECT p, entry, list_slice(v, p * {width} + 1, p * {width} + {width}) AS v
+  FROM (SELECT row_number() OVER (ORDER BY vec_id, v) - 1 AS entry, v
+        FROM (SELECT vec_id, v FROM kept WHERE vec_id IS NOT NULL ORDER BY vec_id, v LIMIT {entries}) t) t,
+    (SELECT unnest(range({parts})) AS p) u
+)""",
+    ]
+    for turn in range(rounds + 1):
+        steps.append(f"""a{turn} AS MATERIALIZED (
+  SELECT rid, p, x, best.entry AS entry, best.d AS d FROM (
+    SELECT rid, p, any_value(x) AS x, min({{'d': d, 'entry': entry}}) AS best
+    FROM (SELECT rid, parts.p AS p, x, entry, {_apart('x', 'v')} AS d FROM parts JOIN b{turn} USING (p)) t GROUP BY rid, p
+  ) t
+)""")
+        if turn < rounds:
+            steps.append(f"""b{turn + 1} AS MATERIALIZED (
+  SELECT b.p, b.entry, coalesce(m.v, b.v) AS v FROM b{turn} b LEFT JOIN (
+    SELECT p, entry, list({FLOOR_MEAN} ORDER BY i) AS v FROM (
+      SELECT p, entry, i, sum(y) AS s, count(*) AS n
+      FROM (SELECT p, entry, unnest(x) AS y, unnest(range(1, {width + 1})) AS i FROM a{turn}) t GROUP BY p, entry, i
+    ) t GROUP BY p, entry
+  ) m ON m.p = b.p AND m.entry = b.entry
+)""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (
+  SELECT rid, string_agg(lower(printf('%02x', entry::INTEGER)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid
+), book AS (
+  SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (rid), book
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION_SQL,
     "op3_substring_dedup": SUBSTRING_SQL,
     "op10_url_filters": URL_SQL,
+    "op11_centroid_clustering": centroid_sql(),
+    "op13_vector_codes": code_sql(),
 }
