@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from huntlake.llm.common import per_batch, ranked, saved
-from huntlake.llm.word_tokens import WordIds
+from huntlake.llm.word_tokens import ids_of
 
 CAPACITY = 4096
 END = 1
@@ -89,34 +89,28 @@ def pieces(docs: DataFrame, capacity: int, vocabulary: str | None, end: int, kee
     names = [column.split()[0] for column in columns.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
 
-    def make_with(known: WordIds):
-        def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            rows, kept, tokens = [], [], 0
-
-            def out() -> pa.RecordBatch:
-                arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 5, kinds)]
-                return pa.RecordBatch.from_arrays(arrays + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, names)
-
-            texts = (text.as_py() for text in batch.column(1))
-            for doc_id, found in zip(batch.column(0).to_pylist(), known.of(texts)):
-                ids = np.frombuffer(found + end.to_bytes(4, "little"), "<u4")
-                for number, start in enumerate(range(0, len(ids), capacity)):
-                    piece = ids[start : start + capacity]
-                    rows.append((doc_id, number, start, len(piece), zlib.crc32(piece.tobytes())))
-                    if keep_ids:
-                        kept.append(piece.view("<i4"))
-                tokens += len(ids)
-                if tokens >= BATCH_TOKENS:
-                    yield out()
-                    rows, kept, tokens = [], [], 0
-            yield out()
-
-        return make
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from per_batch(make_with(WordIds(vocabulary)))(batches)
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, columns)
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows, kept, tokens = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 5, kinds)]
+            return pa.RecordBatch.from_arrays(arrays + [pa.array(kept, pa.list_(pa.int32()))] * keep_ids, names)
+
+        found, bounds = ids_of(batch.column(1), vocabulary)
+        for at, doc_id in enumerate(batch.column(0).to_pylist()):
+            ids = np.append(found[bounds[at] : bounds[at + 1]], np.uint32(end))
+            for number, start in enumerate(range(0, len(ids), capacity)):
+                piece = ids[start : start + capacity]
+                rows.append((doc_id, number, start, len(piece), zlib.crc32(piece.tobytes())))
+                if keep_ids:
+                    kept.append(piece.view("<i4"))
+            tokens += len(ids)
+            if tokens >= BATCH_TOKENS:
+                yield out()
+                rows, kept, tokens = [], [], 0
+        yield out()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(per_batch(make), columns)
 
 
 def pack(
