@@ -13,8 +13,10 @@ the documents, none of which moves a text:
 
 Equal windows have equal anchors, so no repeat is missed; a repeat is taken
 for one only if 128 bits of hashes of its words agree. What a pass looks for is
-sent to it as a Bloom filter of fixed size. If the filter is too full, more
-chunks and windows are compared; the result stays the same.
+sent to it as a Bloom filter of fixed size, and so is what rows are to be
+joined with. If a filter is too full, more chunks and windows are compared; the
+result stays the same. Passages that very many documents hold are sent to all
+tasks, so that no task gets all copies of one (``later``).
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ BLOCK_WORDS = 1 << 16
 FILTER_BITS = 1 << 27
 #: Windows of a chunk, which four bits hold.
 MOST_WINDOWS = 15
+#: Places that a mark holds, in words.
+MOST_WORDS = 1 << 28
+#: The most frequent repeats, which are sent to all tasks.
+FREQUENT = 1000
 
 
 def blocks(texts: Iterable[bytes], width: int) -> Iterator[tuple[list[tuple[int, int]], Block]]:
@@ -75,19 +81,16 @@ def _anchored(batch: pa.RecordBatch, width: int, rounds: int):
 
 
 def anchor_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
-    """(doc_id, key) of the anchors of all windows, each key once per document and block."""
+    """(key) of the anchors of all windows, each key once per document and block."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
         for _, starts, keys, rows, _ in _anchored(batch, width, rounds):
             fresh = np.ones(len(starts), bool)
             order = np.lexsort((keys, rows))
             fresh[order[1:]] = (np.diff(keys[order]) != 0) | (np.diff(rows[order]) != 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows[fresh]], pa.int64()), pa.array(keys[fresh].view(np.int64))], ["doc_id", "key"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys[fresh].view(np.int64))], ["key"])
 
-    return docs.select("doc_id", "text").mapInArrow(per_batch(make), "doc_id long, key long")
+    return docs.select("doc_id", "text").mapInArrow(per_batch(make), "key long")
 
 
 class KeyFilter:
@@ -120,6 +123,8 @@ class KeyFilter:
 
 def _marks(tags: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """31 bits of the text's hash, as an id may stand on several texts, the first window's place, the number of windows."""
+    if len(places) and places.max() >= MOST_WORDS:
+        raise ValueError(f"a document of more than {MOST_WORDS} words")
     return tags << 32 | places << 4 | sizes
 
 
@@ -168,24 +173,54 @@ def window_rows(docs: DataFrame, wanted: KeyFilter, width: int, rounds: int) ->
     return docs.select("doc_id", "text", "tag").mapInArrow(per_batch(make), "doc_id long, mark long, a long, b long")
 
 
+def may_match(rows: DataFrame, keys: list[str], wanted: KeyFilter) -> DataFrame:
+    """``rows`` (of 64-bit numbers) without most of those whose ``keys`` are not wanted."""
+    names = rows.columns
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        held = wanted.has(batch.column(len(names)).to_numpy(zero_copy_only=False).view(np.uint64))
+        yield batch.select(names).filter(pa.array(held))
+
+    hashed = rows.withColumn("_hash", F.xxhash64(*keys))
+    return hashed.mapInArrow(per_batch(make, 1 << 16), ", ".join(f"{name} long" for name in names))
+
+
+def later(rows: DataFrame, keys: list[str], shared: DataFrame, label: str) -> DataFrame:
+    """(doc_id, mark) of the rows that lie in a group of ``shared`` (keys, least) and not in its least document.
+
+    The most frequent groups, a bounded number, are joined without a shuffle,
+    so no other has more than that share of the rows left in one task.
+    """
+    spark = rows.sparkSession
+    names = [name for name in rows.columns if name in (*keys, "doc_id", "mark")]
+    some = saved(may_match(rows.select(names), keys, KeyFilter(shared.select(F.xxhash64(*keys)))), label)
+    sizes = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), *keys).limit(FREQUENT)
+    top = shared.join(F.broadcast(sizes), keys).select(shared.columns).collect()  # at most FREQUENT rows, as is the next
+    frequent = F.broadcast(spark.createDataFrame(top, shared.schema))
+    hot = some.join(frequent, keys)
+    cold = some.join(frequent, keys, "left_anti").join(shared, keys)
+    return hot.unionByName(cold).where("doc_id > least").select("doc_id", "mark")
+
+
 def repeated_marks(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, marks) of the windows that also start in a document with a smaller id."""
+    """(doc_id, tag, marks) of the windows that also start in a document with a smaller id."""
     tagged = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long"), "text", F.expr("xxhash64(text) & 2147483647").alias("tag")
     )
-    least, most = F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
-    shared = anchor_rows(tagged, width, rounds).groupBy("key").agg(least, most).where("least < most")
+    ends = F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+    # a key may be counted twice for one document; it is then compared and found to be in one only
+    shared = anchor_rows(tagged, width, rounds).groupBy("key").count().where("count > 1")
     chunks = saved(chunk_rows(tagged, KeyFilter(shared.select("key")), width, rounds), "chunks")
-    groups = chunks.groupBy("key").agg(least, most, F.min("body").alias("low"), F.max("body").alias("high"))
+    groups = chunks.groupBy("key").agg(*ends, F.min("body").alias("low"), F.max("body").alias("high"))
     groups = saved(groups.where("least < most"), "groups")
-
     same = groups.where("low = high").select("key", "least")
-    later_chunks = chunks.join(same, "key").where("doc_id > least").select("doc_id", "mark")
+    later_chunks = later(chunks, ["key"], same, "later-chunks")
     mixed = KeyFilter(groups.where("low <> high").select("key"))
     windows = saved(window_rows(tagged, mixed, width, rounds), "windows")
-    first = windows.groupBy("a", "b").agg(least, most).where("least < most")
-    later_windows = windows.join(first, ["a", "b"]).where("doc_id > least").select("doc_id", "mark")
-    return later_chunks.unionByName(later_windows).groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
+    first = saved(windows.groupBy("a", "b").agg(*ends).where("least < most").drop("most"), "first")
+    marks = later_chunks.unionByName(later(windows, ["a", "b"], first, "later-windows"))
+    # by text as well as by id: an id may stand on very many rows
+    return marks.groupBy("doc_id", F.shiftright("mark", 32).alias("tag")).agg(F.collect_set("mark").alias("marks"))
 
 
 def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
@@ -195,16 +230,18 @@ def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: in
     document with a smaller id; ``kept`` are the others, joined by one space. A
     NULL text has no words and gives an empty ``kept``. Rows with a NULL id keep
     all words and serve no other row. Rows of one id do not count against each
-    other. Windows are judged on the input, not on what is left.
+    other. Windows are judged on the input, not on what is left. A document of
+    ``MOST_WORDS`` words or more raises.
     """
-    marks = repeated_marks(docs, width, rounds)
+    marks = saved(repeated_marks(docs, width, rounds).withColumnRenamed("tag", "_tag"), "marks")
+    marked = KeyFilter(marks.select(F.xxhash64("doc_id", "_tag")))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         total, removed, kept = [], [], []
-        for text, tag, held in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), batch.column(3)):
+        for text, held in zip(text_bytes(batch.column(1)), batch.column(2)):
             words = text.split()
             held = held.values.to_numpy(zero_copy_only=False) if held.is_valid else np.zeros(0, np.int64)
-            held = held[held >> 32 == tag] & 0xFFFFFFFF
+            held = held & 0xFFFFFFFF
             total.append(len(words))
             if len(held):
                 edges = np.bincount(held >> 4, minlength=len(words) + 1)
@@ -218,15 +255,33 @@ def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: in
             [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), kept], ["row", "n_words", "n_removed", "kept"]
         )
 
+    def touched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.select(columns).filter(pa.array(held(batch)))
+
+    def untouched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        left = batch.select(["row", "text"]).filter(pa.array(~held(batch)))
+        yield from make(left.append_column("marks", pa.nulls(left.num_rows, pa.list_(pa.int64()))))
+
+    def held(batch: pa.RecordBatch) -> np.ndarray:
+        return marked.has(batch.column("hash").to_numpy(zero_copy_only=False).view(np.uint64))
+
+    columns = ["row", "text", "tag", "id"]
     rows = docs.select(
         F.struct(*carry).alias("row"),
-        "text",
+        F.col("text").cast("string").alias("text"),
         F.expr("xxhash64(text) & 2147483647").alias("tag"),
         F.col("doc_id").cast("long").alias("id"),
     )
-    joined = rows.join(marks, F.col("id") == F.col("doc_id"), "left").select("row", "text", "tag", "marks")
-    kinds = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
-    return joined.mapInArrow(per_batch(make), kinds)
+    kind = rows.schema["row"].dataType.simpleString()
+    kinds = f"row {kind}, n_words long, n_removed long, kept string"
+    hashed = rows.withColumn("hash", F.xxhash64("id", "tag"))
+    # only texts that lose words, and a few more, go through a shuffle
+    some = hashed.mapInArrow(per_batch(touched), f"row {kind}, text string, tag long, id long")
+    same = (F.col("id") == F.col("doc_id")) & (F.col("tag") == F.col("_tag"))
+    if "text" in carry:
+        some = some.drop("text")
+    joined = some.join(marks, same, "left").select("row", "row.text" if "text" in carry else "text", "marks")
+    return hashed.mapInArrow(per_batch(untouched), kinds).union(joined.mapInArrow(per_batch(make), kinds))
 
 
 def keep_unique(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
