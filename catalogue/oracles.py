@@ -279,16 +279,19 @@ ORACLES["cim_rule_text"] = with_inputs(
 )
 
 
-def route(event_ids: str, columns: str) -> str:
-    return with_inputs(
-        f"""select {KEPT}, '1.0' as event_schema_version, 'winlogbeat-sysmon' as event_schema_file,
+#: The body of each silver table's SQL, over the view ``{source}``.
+SILVER_BODIES = {"all_silver": f"select {WIDE} from {{source}}"}
+
+
+def route(table: str, event_ids: str, columns: str) -> str:
+    SILVER_BODIES[table] = f"""select {KEPT}, '1.0' as event_schema_version, 'winlogbeat-sysmon' as event_schema_file,
   'success' as event_result, {columns.strip()}
-from wl where channel = 'Microsoft-Windows-Sysmon/Operational' and winlog_event_id in ({event_ids})""",
-        "wl",
-    )
+from {{source}} where channel = 'Microsoft-Windows-Sysmon/Operational' and winlog_event_id in ({event_ids})"""
+    return with_inputs(SILVER_BODIES[table].format(source="wl"), "wl")
 
 
 ORACLES["route_process"] = route(
+    "process",
     "'1', '5', '18'",
     """
   case winlog_event_id when '1' then 'Process Started' when '5' then 'Process Terminated'
@@ -304,6 +307,7 @@ ORACLES["route_process"] = route(
 )
 ORACLES["bloom_write"] = ORACLES["route_process"]
 ORACLES["route_registry"] = route(
+    "registry",
     "'12', '13', '14'",
     """
   case winlog_event_id when '12' then 'RegistryKey Create/Delete' when '13' then 'Registry Value Set'
@@ -313,12 +317,14 @@ ORACLES["route_registry"] = route(
   'null' as registry_key_new_name""",
 )
 ORACLES["route_service"] = route(
+    "service",
     "'4'",
     """
   'Service State Changed' as event_message, ed_State as service_state, 'null' as file_version,
   process_pid""",
 )
 ORACLES["route_file"] = route(
+    "file",
     "'11', '23'",
     """
   '' as event_message, ed_ProcessGuid as process_guid, ed_ProcessId as process_id,
@@ -326,6 +332,7 @@ ORACLES["route_file"] = route(
   ed_User as user_name, ed_Hashes as file_hashes, 'null' as file_is_exe, 'null' as file_archived""",
 )
 ORACLES["route_network"] = route(
+    "network",
     "'3'",
     """
   ed_ProcessGuid as process_guid, ed_ProcessId as process_id, ed_Image as process_file_path,
@@ -335,6 +342,7 @@ ORACLES["route_network"] = route(
   'null' as dst_dvc_hostname, ed_DestinationPort as dst_port_number, 'null' as dst_port_name""",
 )
 ORACLES["route_dns"] = route(
+    "dns",
     "'22'",
     """
   'DNS' as event_message, ed_ProcessGuid as process_guid, ed_ProcessId as process_id,
@@ -342,6 +350,7 @@ ORACLES["route_dns"] = route(
   ed_Image as process_file_path""",
 )
 ORACLES["route_wmi"] = route(
+    "wmi",
     "'19', '20', '21'",
     """
   case winlog_event_id when '19' then 'WmiEventFilter activity detected'
@@ -362,26 +371,30 @@ ORACLES["bronze_partition_list"] = with_inputs(
   || replace(channel, '/', '%2F') as partition from delivered""",
     "delivered",
 )
-ORACLES["silver_from_bronze"] = with_inputs(
-    """select silver_table, event_date as "_event_date", count(*) as events from placed
-group by silver_table, event_date""",
-    "delivered",
-    placed="""select event_date, 'all_silver' as silver_table from delivered
-union all
-select event_date, case
-    when winlog_event_id in ('1', '5', '18') then 'process'
-    when winlog_event_id in ('12', '13', '14') then 'registry'
-    when winlog_event_id = '4' then 'service'
-    when winlog_event_id in ('11', '23') then 'file'
-    when winlog_event_id = '3' then 'network'
-    when winlog_event_id = '22' then 'dns'
-    else 'wmi' end as silver_table
-from delivered where channel = 'Microsoft-Windows-Sysmon/Operational'
-  and winlog_event_id in ('1', '3', '4', '5', '11', '12', '13', '14', '18', '19', '20', '21', '22', '23')""",
-)
+
+
+def silver_digest(tables: dict[str, str]) -> str:
+    """Per table, day and column the number of rows and the sum of the values' hashes."""
+    rows = " union all ".join(
+        f"""select '{table}' as silver_table, "_event_date", to_json(t) as row from ({body.format(source="delivered")}) t"""
+        for table, body in tables.items()
+    )
+    return with_inputs(
+        """select silver_table, "_event_date", column_name, count(*) as events,
+  sum(('0x' || substr(md5(coalesce(row ->> ('$."' || column_name || '"'), '<null>')), 1, 8))::bigint)::bigint as digest
+from cells where column_name <> '_event_date' group by silver_table, "_event_date", column_name""",
+        "delivered",
+        silver_rows=rows,
+        cells='select silver_table, "_event_date", unnest(json_keys(row)) as column_name, row from silver_rows',
+    )
+
+
+ORACLES["silver_from_bronze"] = silver_digest(SILVER_BODIES)
 ORACLES["stream_silver"] = ORACLES["silver_from_bronze"]
 ORACLES["silver_optimized"] = ORACLES["silver_from_bronze"]
 ORACLES["stream_fanout"] = ORACLES["silver_from_bronze"]
+ORACLES["stream_fanout_compacted"] = ORACLES["silver_from_bronze"]
+ORACLES["ingest_twice"] = ORACLES["payload_decode"]
 ORACLES["append_evolving"] = with_inputs(
     """select rid, event_date as "_event_date", log_level as "log:level", cast(null as varchar) as "event:action",
   cast(null as varchar) as host from wl
@@ -413,3 +426,10 @@ select rid, channel, winlog_event_id, task from wl""",
     "wl",
 )
 ORACLES["zorder_rewrite"] = with_inputs(f"select {WIDE.replace(' message,', '')} from wl", "wl")
+ORACLES["optimize_cleaned"] = with_inputs(
+    """select silver_table, event_date as "_event_date", rid, 1 as copies from wl, (select unnest(['first', 'second']) as silver_table) t""",
+    "wl",
+)
+ORACLES["replace_grown"] = with_inputs(
+    """select rid, event_date as "_event_date", channel as "winlog:channel", winlog_event_id as "winlog:event_id" from wl""", "wl"
+)

@@ -9,19 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from catalogue import inputs
 from huntlake.functions.entropy import shannon_entropy
 from huntlake.functions.names import field
 from huntlake.operators import cim, enrich, hunts, ingest, layout, shape
 from huntlake.plans import certificates, events, rules
-from huntlake.sinks import tables
+from huntlake.sinks import cleanup, replace, tables
 from huntlake.sinks.shared import fresh_folder
-from huntlake.sources import files, payload
+from huntlake.sources import files, payload, seen
 from huntlake.streaming.append import stream_tables, stream_to_table
-from huntlake.streaming.fanout import fan_out
+from huntlake.streaming.fanout import BATCH, fan_out
+from huntlake.streaming.ledger import compact_ledger_table, ledger_fan_out, read_ledger_table
 
 NAMESPACE = "huntlake_checks"
 MESSAGE_SCHEMA = "value binary, topic string, partition int, offset bigint"
@@ -389,23 +391,35 @@ def bronze_partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze table to all silver tables, counted per table and day."""
+    """Bronze table to all silver tables, in digests per table, day and column."""
     bronze = files.read_table(spark, write_bronze(spark, sf_dir, "silver_from_bronze"))
     for table in SILVER_TABLES:
         fresh_table(spark, table)
     events.append_silver(bronze, NAMESPACE, path=fresh_folder(spark, "silver_from_bronze"), bloom=True)
-    return silver_counts(spark)
+    return silver_content(spark)
 
 
-def silver_counts(spark: SparkSession) -> DataFrame:
-    counts = [
-        files.read_table(spark, f"{NAMESPACE}.{table}")
-        .groupBy("_event_date")
-        .agg(F.count("*").alias("events"))
-        .withColumn("silver_table", F.lit(table))
-        for table in SILVER_TABLES
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def silver_digest(frames: dict[str, DataFrame]) -> DataFrame:
+    """Per table, day and column the number of rows and the sum of the values' hashes, whatever their order."""
+
+    def digest(frame: DataFrame, name: str) -> Column:
+        listed = isinstance(frame.schema[name].dataType, ArrayType)
+        text = F.concat_ws("|", field(name)) if listed else field(name).cast("string")
+        hashed = F.md5(F.coalesce(text, F.lit("<null>")).cast("binary"))
+        return F.sum(F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long")).alias(name)
+
+    def cells(table: str, frame: DataFrame) -> DataFrame:
+        names = [name for name in frame.columns if name not in ("_event_date", "_ingest_time", BATCH)]
+        summed = frame.groupBy("_event_date").agg(F.count(F.lit(1)).alias("events"), *(digest(frame, name) for name in names))
+        head = [F.lit(table).alias("silver_table"), F.col("_event_date"), F.col("events")]
+        pairs = F.array(*(F.struct(F.lit(name).alias("column_name"), field(name).alias("digest")) for name in names))
+        return summed.select(*head, F.inline(pairs))
+
+    return reduce(DataFrame.unionByName, (cells(*item) for item in frames.items()))
+
+
+def silver_content(spark: SparkSession) -> DataFrame:
+    return silver_digest({table: files.read_table(spark, f"{NAMESPACE}.{table}") for table in SILVER_TABLES})
 
 
 @register
@@ -416,7 +430,7 @@ def silver_optimized(spark: SparkSession, sf_dir: str) -> DataFrame:
         fresh_table(spark, table)
     events.append_silver(bronze, NAMESPACE, path=fresh_folder(spark, "silver_optimized"))
     events.optimize_silver(spark, NAMESPACE)
-    return silver_counts(spark)
+    return silver_content(spark)
 
 
 @register
@@ -503,7 +517,37 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         checkpoint_root=root,
         path=f"{root}/tables",
     ).awaitTermination()
-    return silver_counts(spark)
+    return silver_content(spark)
+
+
+@register
+def stream_fanout_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fan-out behind a ledger, in several batches, with every table compacted and Z-ordered in between and at the end."""
+    root = fresh_folder(spark, "stream_fanout_compacted")
+    messages = inputs.messages(spark, sf_dir)
+    schema = inputs.payload_schema(spark, sf_dir)
+    for half in (0, 1):
+        messages.where(F.col("offset") % 2 == half).repartition(3).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        bronze = events.bronze_events(stream, schema, keep_raw=False, corrupt="drop")
+        ledger_fan_out(bronze, events.silver_tables, f"{root}/tables", "compacted", checkpoint_root=root).awaitTermination()
+        for table in SILVER_TABLES:
+            compact_ledger_table(spark, f"{root}/tables", table, columns=events.CLUSTER_COLUMNS[table])
+    return silver_digest({table: read_ledger_table(spark, f"{root}/tables", table) for table in SILVER_TABLES})
+
+
+@register
+def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded ingest of some messages, of all of them, and of all of them again: each is there once."""
+    name, path = fresh_table(spark, "ingest_twice")
+    messages, schema = inputs.messages(spark, sf_dir), inputs.payload_schema(spark, sf_dir)
+    for delivered in (messages.where("offset % 3 = 0"), messages, messages):
+        if spark.catalog.tableExists(name):
+            delivered = seen.unseen(delivered, files.read_table(spark, name))
+        bronze = events.bronze_events(delivered, schema, keep_raw=False, keep_coordinates=True, corrupt="drop")
+        tables.append_table(bronze, name, "bronze", events.BRONZE_PARTITIONS, path=path)
+    flat = shape.flatten_events(files.read_table(spark, name))
+    return joined_lines(flat.drop("_ingest_time", "_topic", "_partition", "_offset"))
 
 
 @register
@@ -527,7 +571,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for query in running:
         query.awaitTermination()
-    return silver_counts(spark)
+    return silver_content(spark)
 
 
 # --- layout ------------------------------------------------------------------
@@ -551,3 +595,34 @@ def bloom_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         table, name, "silver", events.SILVER_PARTITIONS, path=path, balanced=True, options=options
     )
     return files.read_table(spark, name)
+
+
+@register
+def optimize_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append, optimise, append, optimise some days, and remove what no table uses: the rows stay, each in one file."""
+    name, path = fresh_table(spark, "optimize_cleaned")
+    rows = inputs.flat(spark, sf_dir).select("rid", "_event_date")
+    for label in ("first", "second"):
+        tables.append_table(rows.withColumn("silver_table", F.lit(label)), name, "silver", ["_event_date"], path=path)
+        layout.optimize_table(spark, name, ["rid"], where="_event_date is not null")
+    cleanup.remove_unreferenced(spark, cleanup.unreferenced_of_table(spark, name, hours=0.0), dry_run=False)
+    spark.catalog.refreshTable(name)
+    beside = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}*").groupBy("rid", "silver_table").count()
+    table = files.read_table(spark, name)
+    return table.join(beside, ["rid", "silver_table"]).select("silver_table", "_event_date", "rid", F.col("count").cast("int").alias("copies"))
+
+
+@register
+def replace_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table without a path, overwritten at once and then appended to with a larger struct."""
+    name, _ = fresh_table(spark, "replace_grown")
+    nested = inputs.events(spark, sf_dir).select("rid", F.col("@timestamp").cast("date").alias("_event_date"), "winlog")
+    few = nested.select("rid", "_event_date", F.struct("winlog.channel").alias("winlog"))
+    tables.append_table(few.where("rid % 2 = 0"), name, "silver", ["_event_date"])
+    replace.replace_table(few.where("rid % 5 = 0"), name, ["_event_date"])
+    more = nested.select("rid", "_event_date", F.struct("winlog.channel", "winlog.event_id").alias("winlog"))
+    tables.append_table(more.where("rid % 5 <> 0"), name, "silver", ["_event_date"])
+    replace.replace_table(
+        files.read_table(spark, name).drop("winlog").join(more.select("rid", "winlog"), "rid"), name, ["_event_date"]
+    )
+    return shape.flatten(files.read_table(spark, name))

@@ -87,12 +87,13 @@ def filled(spark: SparkSession, column: Column, given: DataType, wanted: DataTyp
 
 
 def grow_table(spark: SparkSession, name: str, schema: StructType) -> None:
-    """Let a Parquet table take up the fields of ``schema`` that it lacks; its files are left as they are.
+    """Let a Parquet table take up the fields of ``schema`` that it lacks.
 
     New columns are added in place. Where a struct grows the catalog entry is
-    replaced by one with the larger schema over the same files and partitions,
-    which needs a table whose files do not go with its entry (one created with a
-    path); others raise. Nobody else may write the table meanwhile.
+    replaced by one with the larger schema over the same files and partitions.
+    Files of a table that was created without a path would go with its entry:
+    it is written anew, once, and after that names its folder. Nobody else may
+    write the table meanwhile.
     """
     current = spark.table(name).schema
     wanted = merged_type(spark, current, nullable(schema), name)
@@ -146,9 +147,15 @@ def _replace_entry(spark: SparkSession, name: str, schema: StructType) -> None:
     that leaves the table as it was.
     """
     detail = _described(spark, f"DESCRIBE TABLE EXTENDED {name}")
-    if detail["Type"] != "EXTERNAL":
-        raise ValueError(f"a struct of {name} grows, and its files would go with its catalog entry: create it with a path")
     partition_by = [item.name for item in spark.catalog.listColumns(name) if item.isPartition]
+    if detail["Type"] != "EXTERNAL":
+        # its files would go with its entry, so they are written anew, once: the new entry names its folder
+        from huntlake.sinks.replace import replace_table
+
+        table = spark.table(name)
+        whole = [filled(spark, field(item.name), table.schema[item.name].dataType, item.dataType).alias(item.name) if item.name in table.columns else F.lit(None).cast(item.dataType).alias(item.name) for item in schema]
+        replace_table(table.select(*whole), name, partition_by)
+        return
     grown = f"{name}__grown"
     spark.sql(f"DROP TABLE IF EXISTS {grown}")
     # created over no files and then moved: over the files of a stream Spark would keep no schema
