@@ -77,7 +77,8 @@ def replace_table(
 
     The table may be new, and may get other columns, types or partitions. Its
     files are written to ``path`` and a suffix, or beside the table's present
-    files; those stay until ``remove_unreferenced`` deletes them. ``df`` may
+    files; those stay until ``remove_unreferenced`` deletes them, also in the
+    warehouse, where they keep the folder of a table that had no path. ``df`` may
     read the table itself. Two calls for one table may not overlap, and a
     failure before the switch leaves the table as it was.
     """

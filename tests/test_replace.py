@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+from itertools import count
+
+import pytest
+from compare import rows
+from pyspark.sql import SparkSession
+
+from huntlake.operators.layout import optimize_table
+from huntlake.sinks.cleanup import remove_unreferenced, unreferenced_of_table
+from huntlake.sinks.replace import recover_table, replace_table
+from huntlake.sinks.tables import append_table
+
+numbers = count()
+
+
+def fresh() -> str:
+    """A free name: what an earlier table left in the warehouse would stop another one without a path."""
+    return f"unit.replaced{next(numbers)}"
+
+
+def old_rows(spark):
+    return spark.range(10).selectExpr("id", "named_struct('a', id) as s", "id % 3 as part")
+
+
+def new_rows(spark, kind):
+    changed = {"same": "named_struct('a', -id) as s", "other": "cast(id as string) as s", "grown": "named_struct('a', id, 'b', id) as s"}
+    return spark.range(5, 9).selectExpr("id", changed[kind], "id % 2 as part")
+
+
+@pytest.mark.parametrize("managed", [True, False])
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+@pytest.mark.parametrize("kind", ["same", "other"])
+def test_a_failure_between_any_two_statements_leaves_the_old_rows_or_the_new(spark, tmp_path, monkeypatch, managed, partition_by, kind):
+    plain = SparkSession.sql
+    changing = ("ALTER", "DROP", "CREATE", "MSCK")
+    path = None if managed else str(tmp_path / "t")
+    at, finished = 0, False
+    while not finished:
+        name = fresh()
+        append_table(old_rows(spark), name, "silver", partition_by, path=None if managed else f"{path}{at}")
+        old, new = rows(spark.table(name)), rows(new_rows(spark, kind))
+        left = [at]
+
+        def sql(self, text, *args, **kwargs):
+            if text.lstrip().upper().startswith(changing):
+                if not left[0]:
+                    raise RuntimeError("killed")
+                left[0] -= 1
+            return plain(self, text, *args, **kwargs)
+
+        monkeypatch.setattr(SparkSession, "sql", sql)
+        try:
+            replace_table(new_rows(spark, kind), name, partition_by)
+            finished = True
+        except RuntimeError as error:
+            assert "killed" in str(error)
+        monkeypatch.setattr(SparkSession, "sql", plain)
+        recover_table(spark, name)
+        spark.catalog.refreshTable(name)
+        columns = ["id", "s", "part"]
+        assert rows(spark.table(name).select(columns)) in ([new] if finished else [old, new])
+        replace_table(new_rows(spark, kind), name, partition_by)
+        assert rows(spark.table(name).select(columns)) == new
+        assert not any(spark.catalog.tableExists(f"{name}{end}") for end in ("__next", "__last"))
+        at += 1
+    assert at > (1 if kind == "same" and not partition_by else 4)
+
+
+def test_a_table_may_be_replaced_by_its_own_rows(spark, tmp_path):
+    name = fresh()
+    append_table(old_rows(spark), name, "silver", path=str(tmp_path / "t"))
+    replace_table(spark.table(name).where("id < 4"), name)
+    replace_table(spark.table(name).union(spark.table(name)), name)
+    assert [row["id"] for row in spark.table(name).orderBy("id").collect()] == [0, 0, 1, 1, 2, 2, 3, 3]
+    replace_table(spark.table(name).where("false"), name)
+    assert spark.table(name).count() == 0
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_structs_of_tables_without_a_path_grow(spark, partition_by):
+    name = fresh()
+    append_table(old_rows(spark), name, "silver", partition_by)
+    for _ in range(2):
+        append_table(new_rows(spark, "grown"), name, "silver", partition_by)
+    found = spark.table(name).selectExpr("id", "s.a", "s.b", "part")
+    grown = [(i, i, i, i % 2) for i in range(5, 9)]
+    assert rows(found) == sorted([(i, i, None, i % 3) for i in range(10)] + 2 * grown, key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_what_rewrites_leave_is_removed_and_nothing_else(spark, tmp_path, partition_by):
+    name = fresh()
+    (tmp_path / "t_other").mkdir()
+    spark.range(3).write.parquet(str(tmp_path / "t_other" / "kept"))
+    append_table(old_rows(spark), name, "silver", partition_by, path=str(tmp_path / "t"))
+    optimize_table(spark, name, ["id"])
+    append_table(old_rows(spark), name, "silver", partition_by)
+    if partition_by:
+        optimize_table(spark, name, ["id"], where="part = 1")
+    replace_table(spark.table(name).where("id <> 3"), name, partition_by)
+    append_table(old_rows(spark), name, "silver", partition_by)
+    before = rows(spark.table(name))
+    assert unreferenced_of_table(spark, name).count() == 0  # younger than the hours of grace
+    dry = remove_unreferenced(spark, unreferenced_of_table(spark, name, hours=0.0))
+    assert dry.files > 0 and rows(spark.table(name)) == before
+    remove_unreferenced(spark, unreferenced_of_table(spark, name, hours=0.0), dry_run=False)
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name)) == before
+    assert unreferenced_of_table(spark, name, hours=0.0).count() == 0
+    held = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "t_*[0-9a-f]"))
+    assert held.count() == len(before)
+    assert spark.read.parquet(str(tmp_path / "t_other" / "kept")).count() == 3
