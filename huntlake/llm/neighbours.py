@@ -116,8 +116,10 @@ def nearest_in_block(
         near &= ids != query_ids[q]
         at = np.flatnonzero(near)
         distance = np.sqrt(((rows[at] - query) ** 2).sum(axis=1))
-        best = np.lexsort((ids[at], distance))[:NEAREST]
-        for i in best:
+        order = np.lexsort((ids[at], distance))
+        fresh = np.ones(len(order), bool)  # a vec_id that is stored several times takes one place for each distance
+        fresh[1:] = (np.diff(ids[at][order]) != 0) | (np.diff(distance[order]) != 0)
+        for i in order[fresh][:NEAREST]:
             row = at[i]
             differ = sum(int(strings[t][row] ^ asked[t][q]).bit_count() for t in range(trees.trees))
             out.append((int(query_ids[q]), int(ids[row]), float(distance[i]), 1 - differ / (trees.trees * trees.bits)))

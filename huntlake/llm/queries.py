@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from huntlake.llm import best_fit, centroids, codes, decontaminate, language, neighbours, packing, pages, separators
 from huntlake.llm import sharding, simhash, substrings, url_rules
-from huntlake.llm.common import table
+from huntlake.llm.common import saved, table
 from huntlake.sinks.shared import fresh_folder
 
 
@@ -72,12 +72,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     part = F.xxhash64(documents["_metadata.file_path"], documents["_metadata.file_block_start"]).cast("string")
     placed = documents.select(part.alias("shard"), F.col("_metadata.row_index").alias("place"), "doc_id", "text")
+    row = Window.partitionBy("shard").orderBy("place")
+    # written now: a scan made later might split the table in other places
+    rows = saved(placed.select("shard", "doc_id", (F.row_number().over(row) - 1).cast("long").alias("ordinal")), "rows")
     path = fresh_folder(spark, "flat")
     separators.write_flat(placed, path)
     counted = separators.count_tokens(spark, path).withColumn("shard", F.regexp_extract("file", "shard=([^/]*)", 1))
-    row = Window.partitionBy("shard").orderBy("place")
-    rows = placed.select("shard", "doc_id", (F.row_number().over(row) - 1).cast("long").alias("ordinal"))
-    return rows.join(counted, ["shard", "ordinal"], "left").select("doc_id", "n_tokens", "shard", "ordinal")
+    found = F.coalesce("n_tokens", F.raise_error(F.lit("a document is in no flat file")).cast("long")).alias("n_tokens")
+    return rows.join(counted, ["shard", "ordinal"], "left").select("doc_id", found, "shard", "ordinal")
 
 
 #: (verdict, host, path); fixed values of the query.
@@ -122,7 +124,7 @@ QUERIES = {
     "op13_vector_codes": op13_vector_codes,
 }
 
-#: Distinct shingles of five lower-case words of each item, and the documents that hold 80 % of an item's.
+#: Distinct shingles of five lower-case words of each item, and the documents that hold 80 % of an item's; shorter items as a whole.
 DECONTAMINATION_SQL = """
 WITH item_words AS (
   SELECT item_id, list_filter(string_split_regex(lower(text), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
@@ -140,7 +142,12 @@ WITH item_words AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words WHERE len(w) >= 5)
 ), held AS (
   SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id
+), short AS (
+  SELECT DISTINCT item_id, ' ' || array_to_string(w, ' ') || ' ' AS whole FROM item_words WHERE len(w) BETWEEN 1 AND 4
 )
+SELECT DISTINCT doc_id, item_id, 1::BIGINT AS n_shingles, 1::BIGINT AS n_shared, 1::DOUBLE AS containment
+FROM doc_words JOIN short ON contains(' ' || array_to_string(w, ' ') || ' ', whole)
+UNION ALL
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared::DOUBLE / n_shingles AS containment
 FROM held JOIN sizes USING (item_id)
 WHERE n_shared >= ceil(n_shingles * 0.8 - 1e-9)

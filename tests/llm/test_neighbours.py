@@ -52,3 +52,9 @@ def test_ranks_scores_and_ties(spark):
         assert np.allclose([d for _, d in found], [d for _, d in expected], atol=1e-12)
     assert neighbours.nearest(table(spark, []), "vec_id % 100 = 0").collect() == []
     assert neighbours.nearest(table(spark, [(100, [1.0, 2.0])]), "vec_id % 100 = 0").collect() == []
+
+
+def test_a_vector_stored_many_times_takes_one_place(spark):
+    rows = [(0, [1.0, 0.0])] + [(7, [1.0, 0.1])] * 12 + [(i, [1.0, float(i)]) for i in range(10, 30)]
+    got = [(r["rank"], r["vec_id"]) for r in neighbours.nearest(table(spark, rows), "vec_id = 0").orderBy("rank").collect()]
+    assert got == [(1, 7)] + [(rank, rank + 8) for rank in range(2, 11)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tables import documents, random_texts
 
-from huntlake.llm import decontaminate, language, pages, separators, tokens, url_rules
+from huntlake.llm import decontaminate, language, pages, queries, separators, tokens, url_rules
 from huntlake.sinks.shared import fresh_folder
 
 ENGLISH = "the quick brown fox jumps over the lazy dog while they were watching from the other side of this river"
@@ -59,16 +59,18 @@ def test_masks_are_looked_up_for_all_languages_at_once():
 
 
 def contained(rows, items, least=0.8):
-    def shingles(text):
-        words = (text or "").lower().encode().split()
-        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    def words(text):
+        return (text or "").lower().encode().split()
+
+    def shingles(text, width):
+        return {tuple(words(text)[i : i + width]) for i in range(len(words(text)) - width + 1)}
 
     best: dict[tuple, tuple] = {}
     for doc_id, text in rows:
-        held = shingles(text)
         for item_id, item in items:
-            wanted = shingles(item)
-            shared = len(wanted & held)
+            width = min(5, len(words(item)))  # a shorter item is one shingle
+            wanted = shingles(item, width) if width else set()
+            shared = len(wanted & shingles(text, width)) if wanted else 0
             if wanted and shared >= least * len(wanted) - 1e-9:
                 found = (shared / len(wanted), shared, len(wanted))
                 best[doc_id, item_id] = max(best.get((doc_id, item_id), found), found)
@@ -213,3 +215,38 @@ def test_query_matches_sql(spark, sf_dir, name):
     expected = sorted(map(tuple, result.fetchall()), key=str)
     got = sorted(map(tuple, QUERIES[name](spark, sf_dir).select(names).collect()), key=str)
     assert got == expected and got
+
+
+def test_items_of_few_words_are_searched_as_a_whole(spark):
+    items = [(1, "Alpha"), (2, "two words"), (3, "a b  c"), (4, "d e f g"), (5, "one two three four five"), (6, " "), (7, "two words")]
+    rows = [
+        (1, "so alpha it is"),
+        (2, "alphabet two  WORDS"),
+        (3, "a b x c d e f"),
+        (4, "z A B C d e f g"),
+        (5, "one two three four five"),
+        (6, "words two"),
+        (7, None),
+        (8, ""),
+    ]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_shingles"], r["containment"]) for r in decontaminate.contamination(documents(spark, rows), df).collect()}
+    assert got == {(1, 1, 1, 1.0), (2, 2, 1, 1.0), (2, 7, 1, 1.0), (4, 3, 1, 1.0), (4, 4, 1, 1.0), (5, 5, 1, 1.0)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(documents(spark, rows), df).collect()) == [3, 6, 7, 8]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "a b"), (1, "a b"), (1, "c"), (2, None), (3, ""), (None, "x y z")]])
+def test_the_token_query_counts_every_row(spark, tmp_path, rows):
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op8_token_counts(spark, str(tmp_path)).collect()
+    expected = [(doc_id, len(tokens.ids_of(text)) // 4) for doc_id, text in rows]
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=str) == sorted(expected, key=str)
+
+
+def test_the_token_query_stands_other_splits_later(spark, sf_dir, settings):
+    settings(spark__sql__files__maxPartitionBytes="16k")
+    query = queries.op8_token_counts(spark, sf_dir)
+    settings(spark__sql__files__maxPartitionBytes="128m")
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r["doc_id"]: r["n_tokens"] for r in query.collect()}
+    assert got == {doc_id: len(tokens.ids_of(text)) // 4 for doc_id, text in texts.items()}
