@@ -29,13 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from huntlake.llm.common import per_batch, saved, text_bytes
-from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of, mix
+from huntlake.llm.key_filter import KeyFilter
+from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of
 
 WIDTH = 13
 #: Words of a block, and of a part of a long document.
 BLOCK_WORDS = 1 << 16
-#: Bits of the filter of keys, 16 MB.
-FILTER_BITS = 1 << 27
 #: Windows of a chunk, which four bits hold.
 MOST_WINDOWS = 15
 #: Places that a mark holds, in words.
@@ -93,34 +92,6 @@ def anchor_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(per_batch(make), "key long")
 
 
-class KeyFilter:
-    """A Bloom filter of keys, ``FILTER_BITS`` large whatever it holds."""
-
-    def __init__(self, keys: DataFrame):
-        def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            bits = np.concatenate(list(self.bits_of(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
-            word = (bits >> np.uint64(6)).astype(np.int64)
-            mask = (np.uint64(1) << (bits & np.uint64(63))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
-
-        placed = keys.mapInArrow(per_batch(make, 1 << 16), "word long, mask long")
-        held = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-        words = np.zeros(FILTER_BITS >> 6, np.int64)
-        words[held.column("word").to_numpy()] = held.column("mask").to_numpy()
-        self.sent = keys.sparkSession.sparkContext.broadcast(words.tobytes())
-
-    @staticmethod
-    def bits_of(keys: np.ndarray) -> Iterator[np.ndarray]:
-        for seed in (STEP_A, STEP_B, 1):
-            yield mix(keys ^ np.uint64(seed)) % np.uint64(FILTER_BITS)
-
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        words, found = np.frombuffer(self.sent.value, np.uint64), np.ones(len(keys), bool)
-        for bits in self.bits_of(keys):
-            found &= (words[bits >> np.uint64(6)] >> (bits & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return found
-
-
 def _marks(tags: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """31 bits of the text's hash, as an id may stand on several texts, the first window's place, the number of windows."""
     if len(places) and places.max() >= MOST_WORDS:
@@ -193,7 +164,8 @@ def later(rows: DataFrame, keys: list[str], shared: DataFrame, label: str) -> Da
     """
     spark = rows.sparkSession
     names = [name for name in rows.columns if name in (*keys, "doc_id", "mark")]
-    some = saved(may_match(rows.select(names), keys, KeyFilter(shared.select(F.xxhash64(*keys)))), label)
+    with KeyFilter(shared.select(F.xxhash64(*keys))) as wanted:
+        some = saved(may_match(rows.select(names), keys, wanted), label)
     sizes = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), *keys).limit(FREQUENT)
     top = shared.join(F.broadcast(sizes), keys).select(shared.columns).collect()  # at most FREQUENT rows, as is the next
     frequent = F.broadcast(spark.createDataFrame(top, shared.schema))
@@ -210,13 +182,14 @@ def repeated_marks(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) ->
     ends = F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
     # a key may be counted twice for one document; it is then compared and found to be in one only
     shared = anchor_rows(tagged, width, rounds).groupBy("key").count().where("count > 1")
-    chunks = saved(chunk_rows(tagged, KeyFilter(shared.select("key")), width, rounds), "chunks")
+    with KeyFilter(shared.select("key")) as wanted:
+        chunks = saved(chunk_rows(tagged, wanted, width, rounds), "chunks")
     groups = chunks.groupBy("key").agg(*ends, F.min("body").alias("low"), F.max("body").alias("high"))
     groups = saved(groups.where("least < most"), "groups")
     same = groups.where("low = high").select("key", "least")
     later_chunks = later(chunks, ["key"], same, "later-chunks")
-    mixed = KeyFilter(groups.where("low <> high").select("key"))
-    windows = saved(window_rows(tagged, mixed, width, rounds), "windows")
+    with KeyFilter(groups.where("low <> high").select("key")) as mixed:
+        windows = saved(window_rows(tagged, mixed, width, rounds), "windows")
     first = saved(windows.groupBy("a", "b").agg(*ends).where("least < most").drop("most"), "first")
     marks = later_chunks.unionByName(later(windows, ["a", "b"], first, "later-windows"))
     # by text as well as by id: an id may stand on very many rows
