@@ -426,7 +426,7 @@ select rid, channel, winlog_event_id, task from wl""",
     "wl",
 )
 ORACLES["zorder_rewrite"] = with_inputs(f"select {WIDE.replace(' message,', '')} from wl", "wl")
-ORACLES["optimize_cleaned"] = with_inputs(
+ORACLES["unused_files_removed"] = with_inputs(
     """select silver_table, event_date as "_event_date", rid, 1 as copies from wl, (select unnest(['first', 'second']) as silver_table) t""",
     "wl",
 )

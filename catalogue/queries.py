@@ -598,9 +598,9 @@ def bloom_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register
-def optimize_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unused_files_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, optimise, append, optimise some days, and remove what no table uses: the rows stay, each in one file."""
-    name, path = fresh_table(spark, "optimize_cleaned")
+    name, path = fresh_table(spark, "unused_files_removed")
     rows = inputs.flat(spark, sf_dir).select("rid", "_event_date")
     for label in ("first", "second"):
         tables.append_table(rows.withColumn("silver_table", F.lit(label)), name, "silver", ["_event_date"], path=path)
