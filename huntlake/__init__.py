@@ -36,6 +36,8 @@ from huntlake.plans.events import (
 )
 from huntlake.plans.rules import ROUTES, Route
 from huntlake.settings import cluster_settings
+from huntlake.sinks.cleanup import remove_unreferenced, unreferenced_files, unreferenced_of_table
+from huntlake.sinks.replace import recover_table, replace_table
 from huntlake.sinks.shared import shared
 from huntlake.sinks.tables import (
     append_files,
@@ -56,8 +58,10 @@ from huntlake.sources import (
     read_topic,
     stream_topic,
 )
+from huntlake.sources.seen import next_offsets, unseen
 from huntlake.streaming.append import stream_tables, stream_to_table
 from huntlake.streaming.fanout import fan_out
+from huntlake.streaming.ledger import compact_ledger_table, ledger_fan_out, read_ledger_table
 
 __all__ = [
     "Expression",
@@ -82,6 +86,7 @@ __all__ = [
     "clean_blacklist",
     "clean_top_hosts",
     "cluster_settings",
+    "compact_ledger_table",
     "corrupt_records",
     "create_namespace",
     "decode_json",
@@ -97,8 +102,10 @@ __all__ = [
     "ingested",
     "issuer_counts",
     "issuer_values",
+    "ledger_fan_out",
     "list_partitions",
     "message_text",
+    "next_offsets",
     "optimize_silver",
     "optimize_table",
     "parse_rules",
@@ -107,8 +114,12 @@ __all__ = [
     "promote_event_fields",
     "read_batch",
     "read_files",
+    "read_ledger_table",
     "read_table",
     "read_topic",
+    "recover_table",
+    "remove_unreferenced",
+    "replace_table",
     "route_events",
     "route_table",
     "shannon_entropy",
@@ -120,7 +131,10 @@ __all__ = [
     "stream_tables",
     "stream_to_table",
     "stream_topic",
+    "unreferenced_files",
+    "unreferenced_of_table",
     "unique_issuers",
+    "unseen",
     "wide_table",
     "zorder",
 ]
