@@ -433,3 +433,16 @@ ORACLES["unused_files_removed"] = with_inputs(
 ORACLES["replace_grown"] = with_inputs(
     """select rid, event_date as "_event_date", channel as "winlog:channel", winlog_event_id as "winlog:event_id" from wl""", "wl"
 )
+ORACLES["zone_lookup"] = with_inputs(
+    f"select {WIDE.replace(' message,', '')} from wl where winlog_event_id between '11' and '14'", "wl"
+)
+ORACLES["bloom_lookup"] = with_inputs(
+    """select rid, ed_User as "user", winlog_event_id as event_id from wl
+where ed_User in (select ed_User from wl where rid % 101 = 0)""",
+    "wl",
+)
+ORACLES["optimize_overlapping"] = with_inputs(
+    """select 'first' as silver_table, event_date as "_event_date", rid, day(event_date) % 4 = 0 as moved from wl
+union all select 'second', event_date, rid, true from wl where day(event_date) % 4 = 0""",
+    "wl",
+)

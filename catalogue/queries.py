@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType
 from catalogue import inputs
 from huntlake.functions.entropy import shannon_entropy
 from huntlake.functions.names import field
-from huntlake.operators import cim, enrich, hunts, ingest, layout, shape
+from huntlake.operators import cim, enrich, file_index, hunts, ingest, layout, shape
 from huntlake.plans import certificates, events, rules
 from huntlake.sinks import cleanup, replace, tables
 from huntlake.sinks.shared import fresh_folder
@@ -597,6 +597,46 @@ def bloom_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, name)
 
 
+@register
+def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a range of ids, from the files whose smallest and largest ids reach into it."""
+    name, path = fresh_table(spark, "zone_lookup")
+    tables.append_table(events.wide_table(inputs.flat(spark, sf_dir)).drop("message"), name, "silver", path=path)
+    layout.optimize_table(spark, name, ["event_id", "rid"], files=16)
+    stored = files.read_table(spark, name)
+    zones = f"{fresh_folder(spark, 'zones')}/zones"
+    file_index.zone_map(stored, ["event_id", "rid"]).write.parquet(zones)
+    return file_index.in_range(stored, spark.read.parquet(zones), {"event_id": ("11", "14")})
+
+
+@register
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a list of users, from the files whose bloom bits allow for one of them."""
+    name, path = fresh_table(spark, "bloom_lookup")
+    user = field("winlog:event_data:User").alias("user")
+    rows = inputs.flat(spark, sf_dir).select("rid", user, F.col("winlog:event_id").alias("event_id"))
+    tables.append_table(rows, name, "silver", path=path)
+    layout.optimize_table(spark, name, ["user"], files=16)
+    stored = files.read_table(spark, name)
+    index = f"{fresh_folder(spark, 'bloom')}/index"
+    file_index.bloom_index(stored, ["user"]).sort("column", "words", "word").write.parquet(index)
+    return file_index.holding(stored, spark.read.parquet(index), "user", rows.where("rid % 101 = 0").select("user"))
+
+
+@register
+def optimize_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Optimise all days, append to some of them, and optimise again: only days with new rows are rewritten."""
+    name, path = fresh_table(spark, "optimize_overlapping")
+    rows = inputs.flat(spark, sf_dir).select("rid", "_event_date")
+    later = rows.where("day(_event_date) % 4 = 0")
+    for label, part in (("first", rows), ("second", later)):
+        tables.append_table(part.withColumn("silver_table", F.lit(label)), name, "silver", ["_event_date"], path=path)
+        last = layout.optimize_table(spark, name, ["rid"], depth=0 if label == "first" else 1)
+    spark.catalog.refreshTable(name)
+    moved = F.col("_metadata.file_path").contains(f"/{last.rsplit('/', 1)[1]}/").alias("moved")
+    return files.read_table(spark, name).select("silver_table", "_event_date", "rid", moved)
+
+
 @register
 def unused_files_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, optimise, append, optimise some days, and remove what no table uses: the rows stay, each in one file."""

@@ -10,6 +10,7 @@ from huntlake.operators.enrich import (
     enrich_top_hosts,
     exclude_top_hosts,
 )
+from huntlake.operators.file_index import bloom_index, holding, in_range, overlap_depth, zone_map
 from huntlake.operators.hunts import (
     blacklisted,
     high_entropy_names,
@@ -77,6 +78,7 @@ __all__ = [
     "apply_rules",
     "batch_writer",
     "blacklisted",
+    "bloom_index",
     "bloom_options",
     "broadcast_if_small",
     "bronze_events",
@@ -99,6 +101,8 @@ __all__ = [
     "flatten",
     "flatten_events",
     "high_entropy_names",
+    "holding",
+    "in_range",
     "ingested",
     "issuer_counts",
     "issuer_values",
@@ -108,10 +112,11 @@ __all__ = [
     "next_offsets",
     "optimize_silver",
     "optimize_table",
+    "overlap_depth",
     "parse_rules",
     "prefix_columns",
-    "quarantine",
     "promote_event_fields",
+    "quarantine",
     "read_batch",
     "read_files",
     "read_ledger_table",
@@ -131,10 +136,11 @@ __all__ = [
     "stream_tables",
     "stream_to_table",
     "stream_topic",
+    "unique_issuers",
     "unreferenced_files",
     "unreferenced_of_table",
-    "unique_issuers",
     "unseen",
     "wide_table",
+    "zone_map",
     "zorder",
 ]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
 from huntlake.functions.names import field, quoted, text_literal
+from huntlake.operators.file_index import overlap_depth, zone_map
 from huntlake.sinks.growth import partition_specs, partition_values
 
 # Fixed value: accepted share of false positives in a bloom filter.
@@ -26,6 +27,9 @@ ZORDER_BITS = 6
 BOUNDS_SAMPLE_ROWS = 5_000
 ZORDER_KEY = "_zorder_key"
 STREAM_LOG = "_spark_metadata"
+# The folder of a file, and how the folders are named that optimize_table writes to.
+FOLDER = "^(.*)/[^/]*$"
+OPTIMIZED = "_[0-9a-f]{32}(/|$)"
 
 
 def bloom_options(
@@ -75,16 +79,21 @@ def optimize_table(
     where: str | None = None,
     files: int | None = None,
     options: dict[str, str] | None = None,
+    depth: int | None = None,
 ) -> str:
     """Compact and Z-order a catalog table, or the partitions chosen by ``where``.
 
     ``where`` may name partition columns only, so that whole partitions are
     rewritten; anything else raises before a file is written. ``options`` are
-    write options such as ``bloom_options``. A Delta table is handed to Delta's own command.
+    write options such as ``bloom_options``. With ``depth``, a partition is rewritten
+    only if a value of one of ``columns`` may lie in more than ``depth`` of its files,
+    and it has been written to since it was last optimised; with no such partition
+    nothing is written. A Delta table is handed to Delta's own command.
     The files of a Parquet table are rewritten to a new directory beside the old
     one, and the catalog is then pointed to it; the old files are left for
     running readers and are not deleted. Nobody may append to the chosen
-    partitions meanwhile. Returns the new directory, or the table name for Delta.
+    partitions meanwhile. Returns the new directory, the old one if nothing was
+    rewritten, or the table name for Delta.
 
     A Parquet table that a stream appends to directly is refused: the stream
     keeps its own list of files and goes on writing to the old directory.
@@ -104,6 +113,14 @@ def optimize_table(
     moved = _partitions(spark, name, partition_by, where) if partition_by else {}
     table = spark.table(name)
     chosen = table.filter(where) if where else table
+    if depth is not None:
+        folders = _deep_folders(chosen, columns, depth)
+        if not folders:
+            return location
+        folder = F.regexp_extract("_metadata.file_path", FOLDER, 1)
+        chosen = chosen.filter(folder.isin(folders))
+        kept = {"/".join(unquote(path).split("/")[-len(partition_by) :]) for path in folders}
+        moved = {path: spec for path, spec in moved.items() if path in kept}
     rows = chosen.select("*", F.col("_metadata.row_index").alias("_row_index"))
     written = zorder(rows, columns, partition_by, files, tie=["_row_index"]).drop("_row_index")
     target = f"{location}_{uuid.uuid4().hex}"
@@ -118,6 +135,13 @@ def optimize_table(
     return target
 
 
+def _deep_folders(table: DataFrame, columns: Sequence[str], depth: int) -> list[str]:
+    """Folders whose files overlap in more than ``depth``, other than those that hold what one optimisation wrote."""
+    settled = (F.col("writes") == 1) & F.col("folder").rlike(OPTIMIZED)
+    found = overlap_depth(zone_map(table, columns), columns).where((F.col("depth") > depth) & ~settled)
+    return [row["folder"] for row in found.collect()]
+
+
 def _check_written(
     spark: SparkSession, target: str, schema: StructType, expected: int, moved: dict[str, str] | None
 ) -> list[str]:

@@ -145,12 +145,13 @@ def append_silver(
 
 
 def optimize_silver(
-    spark: SparkSession, namespace: str, where: str | None = None, at_once: int = PARALLEL_WRITES
+    spark: SparkSession, namespace: str, where: str | None = None, at_once: int = PARALLEL_WRITES, depth: int | None = None
 ) -> None:
     """Compact and Z-order every silver table by its own columns, keeping its bloom filters.
 
     A job of its own, to be run between appends, usually with ``where`` naming
-    the days that are complete.
+    the days that are complete, or with ``depth`` to leave out those whose files
+    overlap little (see ``optimize_table``).
     """
     rewrites = [
         partial(
@@ -160,6 +161,7 @@ def optimize_silver(
             columns,
             where,
             options=bloom_options(BLOOM_COLUMNS[table]),
+            depth=depth,
         )
         for table, columns in CLUSTER_COLUMNS.items()
     ]

@@ -193,3 +193,30 @@ def test_filters_are_sized_to_the_data(spark, tmp_path, count, share):
         data.write.options(**options).parquet(str(tmp_path / name))
         sizes[name] = sum(file.stat().st_size for file in (tmp_path / name).glob("*.parquet"))
     assert sizes["without"] < sizes["with"] < (1 + share) * sizes["without"]
+
+
+def test_only_partitions_that_overlap_are_rewritten(spark, points, tmp_path):
+    """A second call rewrites nothing, and new rows of two days bring back those days only."""
+    name = "unit.overlapping"
+    spark.sql(f"drop table if exists {name}")
+    parted = points.withColumn("day", F.concat(F.lit("d "), F.col("id") % 20))
+    append_table(parted, name, "bronze", ["day"], path=str(tmp_path / "overlapping"))
+    first = optimize_table(spark, name, ["user", "n"], files=60, depth=1)
+    assert rows(spark.table(name).select(parted.columns)) == rows(parted)
+    assert optimize_table(spark, name, ["user", "n"], files=60, depth=1).endswith("/overlapping")
+    more = points.limit(40).withColumn("day", F.concat(F.lit("d "), F.col("id") % 2))
+    append_table(more, name, "bronze", ["day"], path=str(tmp_path / "overlapping"))
+    second = optimize_table(spark, name, ["user", "n"], files=6, depth=1)
+    assert rows(spark.table(name).select(parted.columns)) == rows(parted.union(more.select(parted.columns)))
+    folder = F.regexp_extract("_metadata.file_path", "^(.*)/day=", 1)
+    held = {row["folder"]: row["days"] for row in spark.table(name).groupBy(folder.alias("folder")).agg(F.count_distinct("day").alias("days")).collect()}
+    assert held == {first: 18, second: 2}
+
+
+def test_depth_of_a_table_without_partitions(spark, points, tmp_path):
+    name = "unit.overlapping_whole"
+    spark.sql(f"drop table if exists {name}")
+    append_table(points, name, "bronze", path=str(tmp_path / "whole"))
+    new = optimize_table(spark, name, ["n"], files=5, depth=2)
+    assert optimize_table(spark, name, ["n"], files=5, depth=0) == new
+    assert rows(spark.table(name).select(points.columns)) == rows(points)
