@@ -446,3 +446,5 @@ ORACLES["optimize_overlapping"] = with_inputs(
 union all select 'second', event_date, rid, true from wl where day(event_date) % 4 = 0""",
     "wl",
 )
+for _name in ("certs_refreshed", "certs_table_refreshed"):
+    ORACLES[_name] = ORACLES["certs_silver"]

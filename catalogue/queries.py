@@ -17,7 +17,7 @@ from catalogue import inputs
 from huntlake.functions.entropy import shannon_entropy
 from huntlake.functions.names import field
 from huntlake.operators import cim, enrich, file_index, hunts, ingest, layout, shape
-from huntlake.plans import certificates, events, rules
+from huntlake.plans import certificates, events, refresh, rules
 from huntlake.sinks import cleanup, replace, tables
 from huntlake.sinks.shared import fresh_folder
 from huntlake.sources import files, payload, seen
@@ -230,6 +230,41 @@ def certs_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir)
 
 
+def lookups(spark: SparkSession, sf_dir: str, listed: str = "true", hosts: str = "true") -> refresh.Lookups:
+    """A part of the cleaned lookups, as they may have been at another time."""
+    return refresh.Lookups(
+        enrich.clean_blacklist(inputs.blacklist(spark, sf_dir).where(listed)),
+        enrich.clean_top_hosts(inputs.top_hosts(spark, sf_dir).where(hosts)),
+    )
+
+
+@register
+def certs_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver certificates after a change of the blacklist, one of the hosts, and the arrival of a third of the certificates."""
+    certs = inputs.certs(spark, sf_dir)
+    old, none, late = certs.where("cert_id % 3 > 0"), certs.where("false"), certs.where("cert_id % 3 = 0")
+    first = lookups(spark, sf_dir, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0")
+    second = lookups(spark, sf_dir, "Listingreason <> 'reason2'", "length(alexa_top_host) % 2 = 0")
+    third, last = lookups(spark, sf_dir, "Listingreason <> 'reason2'"), lookups(spark, sf_dir)
+    rows = certificates.certificates_silver(old, *first)
+    rows = refresh.refreshed_silver(rows, old, none, first, second)
+    rows = refresh.refreshed_silver(rows, old, none, second, third)
+    return refresh.refreshed_silver(rows, old, late, third, last)
+
+
+@register
+def certs_table_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table by country, brought up to date where lookups and new certificates touch it."""
+    name, path = fresh_table(spark, "certs_table_refreshed")
+    certs = inputs.certs(spark, sf_dir)
+    old, late = certs.where("cert_id % 3 > 0"), certs.where("cert_id % 3 = 0")
+    first, last = lookups(spark, sf_dir, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0"), lookups(spark, sf_dir)
+    tables.append_table(certificates.certificates_silver(old, *first), name, "silver", ["country"], path=path)
+    refresh.refresh_silver_table(spark, name, old, late.where("false"), first, last)
+    refresh.refresh_silver_table(spark, name, old, late, last, last)
+    return files.read_table(spark, name)
+
+
 @register
 def certs_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From files to the silver table, through every bronze and silver table."""

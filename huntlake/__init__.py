@@ -35,6 +35,7 @@ from huntlake.plans.events import (
     silver_tables,
     wide_table,
 )
+from huntlake.plans.refresh import Lookups, refresh_silver_table, refreshed_silver
 from huntlake.plans.rules import ROUTES, Route
 from huntlake.settings import cluster_settings
 from huntlake.sinks.cleanup import remove_unreferenced, unreferenced_files, unreferenced_of_table
@@ -67,6 +68,7 @@ from huntlake.streaming.ledger import compact_ledger_table, ledger_fan_out, read
 __all__ = [
     "Expression",
     "Literal",
+    "Lookups",
     "ROUTES",
     "Rename",
     "Route",
@@ -123,6 +125,8 @@ __all__ = [
     "read_table",
     "read_topic",
     "recover_table",
+    "refresh_silver_table",
+    "refreshed_silver",
     "remove_unreferenced",
     "replace_table",
     "route_events",
