@@ -230,25 +230,37 @@ def certs_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir)
 
 
-def lookups(spark: SparkSession, sf_dir: str, listed: str = "true", hosts: str = "true") -> refresh.Lookups:
-    """A part of the cleaned lookups, as they may have been at another time."""
-    return refresh.Lookups(
-        enrich.clean_blacklist(inputs.blacklist(spark, sf_dir).where(listed)),
-        enrich.clean_top_hosts(inputs.top_hosts(spark, sf_dir).where(hosts)),
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A table that is made once, as the bronze tables and lookups of the pipeline are."""
+    path = f"{fresh_folder(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def lookups(blacklist: DataFrame, top_hosts: DataFrame, listed: str = "true", hosts: str = "true") -> refresh.Lookups:
+    """A part of the lookups, cleaned, as they may have been at another time."""
+    return refresh.Lookups(enrich.clean_blacklist(blacklist.where(listed)), enrich.clean_top_hosts(top_hosts.where(hosts)))
+
+
+def refresh_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (
+        stored(inputs.certs(spark, sf_dir), "certs"),
+        stored(inputs.blacklist(spark, sf_dir), "blacklist"),
+        stored(inputs.top_hosts(spark, sf_dir), "hosts"),
     )
 
 
 @register
 def certs_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver certificates after a change of the blacklist, one of the hosts, and the arrival of a third of the certificates."""
-    certs = inputs.certs(spark, sf_dir)
+    certs, *whole = refresh_inputs(spark, sf_dir)
     old, none, late = certs.where("cert_id % 3 > 0"), certs.where("false"), certs.where("cert_id % 3 = 0")
-    first = lookups(spark, sf_dir, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0")
-    second = lookups(spark, sf_dir, "Listingreason <> 'reason2'", "length(alexa_top_host) % 2 = 0")
-    third, last = lookups(spark, sf_dir, "Listingreason <> 'reason2'"), lookups(spark, sf_dir)
-    rows = certificates.certificates_silver(old, *first)
-    rows = refresh.refreshed_silver(rows, old, none, first, second)
-    rows = refresh.refreshed_silver(rows, old, none, second, third)
+    first = lookups(*whole, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0")
+    second = lookups(*whole, "Listingreason <> 'reason2'", "length(alexa_top_host) % 2 = 0")
+    third, last = lookups(*whole, "Listingreason <> 'reason2'"), lookups(*whole)
+    rows = stored(certificates.certificates_silver(old, *first), "silver")
+    rows = stored(refresh.refreshed_silver(rows, old, none, first, second), "silver")
+    rows = stored(refresh.refreshed_silver(rows, old, none, second, third), "silver")
     return refresh.refreshed_silver(rows, old, late, third, last)
 
 
@@ -256,9 +268,9 @@ def certs_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def certs_table_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A silver table by country, brought up to date where lookups and new certificates touch it."""
     name, path = fresh_table(spark, "certs_table_refreshed")
-    certs = inputs.certs(spark, sf_dir)
+    certs, *whole = refresh_inputs(spark, sf_dir)
     old, late = certs.where("cert_id % 3 > 0"), certs.where("cert_id % 3 = 0")
-    first, last = lookups(spark, sf_dir, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0"), lookups(spark, sf_dir)
+    first, last = lookups(*whole, "Listingreason <> 'reason1'", "length(alexa_top_host) % 2 = 0"), lookups(*whole)
     tables.append_table(certificates.certificates_silver(old, *first), name, "silver", ["country"], path=path)
     refresh.refresh_silver_table(spark, name, old, late.where("false"), first, last)
     refresh.refresh_silver_table(spark, name, old, late, last, last)
