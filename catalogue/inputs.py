@@ -42,9 +42,11 @@ def certs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One certificate per document. Equal texts give equal fingerprints."""
     pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", HOST, 1).alias("host"))
     hosts = pages.agg(F.count("*")).scalar()
-    docs = table(spark, sf_dir, "documents").withColumn("page", F.col("doc_id") % hosts)
+    # the fingerprint is taken before the join, so no text is shuffled
+    kept = ("doc_id", "lang", "source", "n_chars")
+    docs = table(spark, sf_dir, "documents").select(*kept, F.sha1("text").alias("print"), (F.col("doc_id") % hosts).alias("page"))
     number = F.col("doc_id")
-    fingerprint = F.sha1("text")
+    fingerprint = F.col("print")
 
     def every(k: int) -> Column:
         return number % k == 0
@@ -80,10 +82,11 @@ def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     toxic = table(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select("doc_id")
     return (
         table(spark, sf_dir, "documents")
+        .select("doc_id", F.sha1("text").alias("SHA1"))
         .join(toxic, "doc_id")
         .select(
             _text(F.col("doc_id")).alias("listingDate"),
-            F.sha1("text").alias("SHA1"),
+            F.col("SHA1"),
             F.concat(F.lit("reason"), _text(F.col("doc_id") % 5)).alias("Listingreason"),
         )
     )
