@@ -153,6 +153,28 @@ with fields as (select unnest(['@timestamp', 'message', 'agent:hostname', 'event
 select field, 'string' as type from fields
 union all select 'rid', 'bigint'"""
 )
+DRIFT = """
+with sent as (
+  select cast(date '2024-01-01' + cast(27 - event_id % 28 as integer) as date) as day, event_id, user_id, event_type, event_id % 11 = 0 as garbage
+  from events
+), held as (
+  select day, '' as path, if(garbage, 'CORRUPT', 'OBJECT') as type from sent
+  union all select day, 'id', 'BIGINT' from sent where not garbage
+  union all select day, 'winlog', 'OBJECT' from sent where not garbage
+  union all select day, 'winlog.channel', 'STRING' from sent where not garbage and event_type is not null
+  union all select day, 'user', if(event_id % 5 = 0, 'STRING', 'BIGINT') from sent where not garbage and user_id is not null
+  union all select day, 'later', 'STRING' from sent
+    where not garbage and event_id % 5 <> 0 and event_id % 7 = 0 and event_type is not null
+), profile as (select day, path, type, count(*) as messages from held group by all)"""
+ORACLES["schema_drift"] = f"{DRIFT}\nselect day, path, type, messages from profile"
+ORACLES["schema_drift_versions"] = f"""{DRIFT},
+seen as (
+  select path, type, min(day) as since, max(day) as last, cast(sum(messages) as bigint) as messages
+  from profile where type <> 'CORRUPT' group by path, type
+), kinds as (select path, string_agg(type, ',' order by type) as types from seen where path <> '' group by path)
+select cast(dense_rank() over (order by since) as integer) as version, since, last, seen.path, type, messages, types,
+  case when path = '' then null when contains(types, ',') then 'mixed' when path = 'later' then 'add' else 'keep' end as action
+from seen left join kinds using (path)"""
 ORACLES["meta_batch"] = with_inputs(
     f"select 'x509_certs' as datasource, true as ingest_time, {CERTS}, true as p_ingest_date from certs", "certs"
 )
@@ -207,6 +229,12 @@ ORACLES["hunt_issuer_counts"] = with_inputs(
     + """, count(distinct issuer) as "count" from silver where issuer is not null group by issuer""",
     "silver",
 )
+ORACLES["issuer_sketch"] = with_inputs(
+    "select issuer, "
+    + ", ".join(f"true as {name}" for name in SETS)
+    + ", count(*) as certificates from silver where issuer is not null group by issuer",
+    "silver",
+)
 ORACLES["hunt_issuer_values"] = with_inputs(ISSUER_VALUES, "silver")
 ORACLES["hunt_single_subject_issuer"] = with_inputs(
     """select issuer, min(subject) as subject, count(subject) as certificates from silver

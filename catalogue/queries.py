@@ -16,11 +16,11 @@ from pyspark.sql.types import ArrayType
 from catalogue import inputs
 from huntlake.functions.entropy import shannon_entropy
 from huntlake.functions.names import field
-from huntlake.operators import cim, enrich, file_index, hunts, ingest, layout, shape
+from huntlake.operators import cim, enrich, file_index, hunts, ingest, layout, shape, sketches
 from huntlake.plans import certificates, events, refresh, rules
 from huntlake.sinks import cleanup, replace, tables
 from huntlake.sinks.shared import fresh_folder
-from huntlake.sources import files, payload, seen
+from huntlake.sources import drift, files, payload, seen
 from huntlake.streaming.append import stream_tables, stream_to_table
 from huntlake.streaming.fanout import BATCH, fan_out
 from huntlake.streaming.ledger import compact_ledger_table, ledger_fan_out, read_ledger_table
@@ -168,6 +168,32 @@ def topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ingest metadata and shaping ---------------------------------------------
 
 
+def drift_profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of the drifted messages over 28 days, in which later days hold smaller numbers; made in two turns."""
+    arrived = F.date_add(F.lit("2024-01-01").cast("date"), (27 - F.col("offset") % 28).cast("int"))
+    source, path = fresh_folder(spark, "messages_by_day"), fresh_folder(spark, "profile")
+    messages = inputs.drifted_messages(spark, sf_dir).withColumn("day", arrived)
+    tables.balance(messages, ["day"]).write.partitionBy("day").parquet(source)
+    messages = files.read_batch(spark, source)
+    drift.update_profile(messages.where("day < date'2024-01-05'"), path, "day")
+    drift.update_profile(messages, path, "day")
+    return drift.read_profile(spark, path, "day")
+
+
+@register
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In how many messages of each day each path holds each type."""
+    return drift_profiled(spark, sf_dir)
+
+
+@register
+def schema_drift_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paths and types that each version of the schema brought, and what a table of the first schema should do."""
+    profile = drift_profiled(spark, sf_dir)
+    report = drift.drift_report(profile, inputs.DRIFT_SCHEMA).select("path", "types", "action")
+    return drift.schema_versions(profile, "day").join(report, "path", "left")
+
+
 @register
 def meta_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     certs = ingest.add_batch_metadata(inputs.certs(spark, sf_dir), certificates.DATASOURCE)
@@ -316,6 +342,24 @@ def hunt_issuer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hunts.issuer_counts(silver(spark, sf_dir))
 
 
+@register
+def issuer_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of 28 days, made in two turns, against the exact counts: whether each estimate is within four standard errors."""
+    seen_on = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("cert_id") % 28).cast("int"))
+    source, path = fresh_folder(spark, "certs_by_day"), fresh_folder(spark, "issuer_states")
+    tables.balance(silver(spark, sf_dir).withColumn("day", seen_on), ["day"]).write.partitionBy("day").parquet(source)
+    certs = files.read_batch(spark, source)
+    sketches.update_issuer_states(certs.where("day < date'2024-01-20'"), path, "day")
+    sketches.update_issuer_states(certs, path, "day")
+    near = sketches.estimated_counts(sketches.read_issuer_states(spark, path, "day"))
+    exact = hunts.issuer_counts(certs).select("issuer", *[F.col(name).alias(f"{name}_exact") for name in hunts.ISSUER_SETS])
+    within = [
+        (F.abs(F.col(name) - F.col(f"{name}_exact")) <= 1 + 4 * sketches.relative_error() * F.col(f"{name}_exact")).alias(name)
+        for name in hunts.ISSUER_SETS
+    ]
+    return near.join(exact, "issuer").select("issuer", *within, "certificates")
+
+
 @register
 def hunt_issuer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hunts.issuer_values(silver(spark, sf_dir))

@@ -23,6 +23,13 @@ from huntlake.operators.hunts import (
 from huntlake.operators.ingest import add_batch_metadata, add_ingest_time, promote_event_fields
 from huntlake.operators.layout import bloom_options, optimize_table, zorder
 from huntlake.operators.shape import flatten, flatten_events, prefix_columns, split_lines
+from huntlake.operators.sketches import (
+    estimated_counts,
+    issuer_states,
+    merged_states,
+    read_issuer_states,
+    update_issuer_states,
+)
 from huntlake.plans.certificates import build_tables, certificates_silver
 from huntlake.plans.events import (
     append_silver,
@@ -60,6 +67,14 @@ from huntlake.sources import (
     read_topic,
     stream_topic,
 )
+from huntlake.sources.drift import (
+    drift_profile,
+    drift_report,
+    proposed_schema,
+    read_profile,
+    schema_versions,
+    update_profile,
+)
 from huntlake.sources.seen import next_offsets, unseen
 from huntlake.streaming.append import stream_tables, stream_to_table
 from huntlake.streaming.fanout import fan_out
@@ -94,9 +109,12 @@ __all__ = [
     "corrupt_records",
     "create_namespace",
     "decode_json",
+    "drift_profile",
+    "drift_report",
     "drop_corrupt",
     "enrich_blacklist",
     "enrich_top_hosts",
+    "estimated_counts",
     "exclude_top_hosts",
     "fan_out",
     "fill_missing",
@@ -107,9 +125,11 @@ __all__ = [
     "in_range",
     "ingested",
     "issuer_counts",
+    "issuer_states",
     "issuer_values",
     "ledger_fan_out",
     "list_partitions",
+    "merged_states",
     "message_text",
     "next_offsets",
     "optimize_silver",
@@ -118,10 +138,13 @@ __all__ = [
     "parse_rules",
     "prefix_columns",
     "promote_event_fields",
+    "proposed_schema",
     "quarantine",
     "read_batch",
     "read_files",
+    "read_issuer_states",
     "read_ledger_table",
+    "read_profile",
     "read_table",
     "read_topic",
     "recover_table",
@@ -131,6 +154,7 @@ __all__ = [
     "replace_table",
     "route_events",
     "route_table",
+    "schema_versions",
     "shannon_entropy",
     "shared",
     "short_issuers",
@@ -144,6 +168,8 @@ __all__ = [
     "unreferenced_files",
     "unreferenced_of_table",
     "unseen",
+    "update_issuer_states",
+    "update_profile",
     "wide_table",
     "zone_map",
     "zorder",
