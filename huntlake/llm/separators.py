@@ -10,14 +10,17 @@ document that a block begins with has begun.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from huntlake.llm.common import per_batch
 from huntlake.llm.tokens import ids_of
+from huntlake.sinks.cleanup import spark_path
 
 WIDTH = 2
 #: The separator. As text it is one character of two bytes, so Spark's text writer can put it after each document.
@@ -25,6 +28,9 @@ SEPARATOR = "߿"
 END = int.from_bytes(SEPARATOR.encode(), "big")
 #: Ids of a block.
 BLOCK = 1 << 20
+#: Blocks that a task reads, about; 64 MB.
+TASK_BLOCKS = 32
+SCANNED = "file string, block long, size long, seps array<long>"
 
 
 def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
@@ -56,36 +62,67 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> Non
     )
 
 
-def read_blocks(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """(file, block, ids) of all files under ``path``, cut every ``block`` ids wherever that falls.
+def block_ranges(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
+    """(file, block, bytes) of all files under ``path``, cut every ``block`` ids wherever that falls.
 
-    A file is at most what Spark reads as one binary value (2 GB).
+    Only names and lengths of files are read. Blocks are dealt over tasks by file and number, so a file of any
+    size is read by many tasks.
     """
     step = WIDTH * block
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0")
-    numbered = files.select("path", "content", F.explode(F.expr(f"sequence(0L, (length - 1) div {step})")).alias("block"))
-    return numbered.select(
-        F.col("path").alias("file"), "block", F.expr(f"substring(content, int(block * {step}) + 1, {step})").alias("ids")
+    files = files.select(F.col("path").alias("file"), "length")
+    blocks = files.agg(F.sum(F.expr(f"(length - 1) div {step} + 1"))).first()[0] or 0
+    ranges = files.select("file", "length", F.explode(F.expr(f"sequence(0L, (length - 1) div {step})")).alias("block"))
+    rest = F.least(F.lit(step).cast("long"), F.col("length") - F.col("block") * step)
+    # a given number of parts, which adaptive execution leaves as it is: the rows are small, what they stand for is not
+    return ranges.select("file", "block", rest.alias("bytes")).repartition(max(1, -(-blocks // TASK_BLOCKS)), "file", "block")
+
+
+def scan_ranges(ranges: DataFrame, block: int = BLOCK, end: int = END) -> DataFrame:
+    """(file, block, size, seps), as ``scan`` gives it, of blocks that each task reads from their files by itself.
+
+    Files are opened through ``pyarrow``, so they lie on a shared file system that it knows. A file that has become
+    shorter since it was listed, or does not end after a whole id, raises.
+    """
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for file, number, size in zip(*(column.to_pylist() for column in batch.columns)):
+            system, place = file_system(file)
+            with system.open_input_file(place) as opened:
+                held = opened.read_at(size, number * WIDTH * block)
+            if len(held) != size or size % WIDTH:
+                raise ValueError(f"{file} is cut off in block {number}")
+            yield found_in([file], [number], [held], end)
+
+    return ranges.select("file", "block", "bytes").mapInArrow(per_batch(make), SCANNED)
+
+
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark lists it, and the path there; local paths come with one slash or three."""
+    place = spark_path(path)
+    return (fs.LocalFileSystem(), place) if place.startswith("/") else fs.FileSystem.from_uri(quote(place, safe=":/@"))
+
+
+def found_in(files: list[str], blocks: list[int], held: list[bytes], end: int) -> pa.RecordBatch:
+    """The size of each block and the places of its separators."""
+    sizes, seps = [], []
+    for one in held:
+        ids = np.frombuffer(one, ">u2")
+        sizes.append(len(ids))
+        seps.append(np.flatnonzero(ids == end))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(files), pa.array(blocks, pa.int64()), pa.array(sizes, pa.int64()), pa.array(seps, pa.list_(pa.int64()))],
+        ["file", "block", "size", "seps"],
     )
 
 
 def scan(blocks: DataFrame, end: int = END) -> DataFrame:
-    """(file, block, size, seps): the ids in each block and the places of its separators."""
+    """(file, block, size, seps): the ids in each block (file, block, ids) and the places of its separators."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sizes, seps = [], []
-        for held in batch.column(2):
-            ids = np.frombuffer(held.as_py(), ">u2")
-            sizes.append(len(ids))
-            seps.append(np.flatnonzero(ids == end))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(seps, pa.list_(pa.int64()))],
-            ["file", "block", "size", "seps"],
-        )
+        yield found_in(*(column.to_pylist() for column in batch.columns), end)
 
-    return blocks.select("file", "block", "ids").mapInArrow(
-        per_batch(make), "file string, block long, size long, seps array<long>"
-    )
+    return blocks.select("file", "block", "ids").mapInArrow(per_batch(make), SCANNED)
 
 
 def stitched(found: DataFrame) -> DataFrame:
@@ -128,4 +165,4 @@ def stitched(found: DataFrame) -> DataFrame:
 
 def count_tokens(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     """The documents of all flat files under ``path``: file, ordinal, n_tokens, closed."""
-    return stitched(scan(read_blocks(spark, path, block)))
+    return stitched(scan_ranges(block_ranges(spark, path, block), block))

@@ -195,6 +195,29 @@ def test_token_counts(spark, block):
         assert [r["n_tokens"] for r in mine] == [len(tokens.ids_of(t)) // 4 for t in texts[shard::3]]
 
 
+def test_blocks_are_read_by_themselves_from_files_of_any_name(spark, tmp_path):
+    end = separators.END
+    ids = (np.arange(1000) % 50).astype(">u2")
+    ids[[99, 100, 640]] = end
+    for name in ("plain", "100%25 sure: a b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "ids.txt").write_bytes(ids.tobytes())
+    ranges = separators.block_ranges(spark, str(tmp_path), 64)
+    assert ranges.columns == ["file", "block", "bytes"] and ranges.count() == 32
+    assert separators.block_ranges(spark, str(tmp_path), 1).rdd.getNumPartitions() == -(-2000 // separators.TASK_BLOCKS)
+    got = separators.count_tokens(spark, str(tmp_path), 64).collect()
+    assert sorted((r["ordinal"], r["n_tokens"], r["closed"]) for r in got) == sorted(
+        2 * [(0, 99, True), (1, 0, True), (2, 539, True), (3, 359, False)]
+    )
+
+
+@pytest.mark.parametrize("content", [b"abc", b"abcdefg"])
+def test_a_file_that_is_cut_off_raises(spark, tmp_path, content):
+    (tmp_path / "odd.txt").write_bytes(content)
+    with pytest.raises(Exception, match="is cut off in block"):
+        separators.count_tokens(spark, str(tmp_path), 2).collect()
+
+
 def test_a_file_may_end_within_a_document(spark):
     end = separators.END
     blocks = [(0, [5, end, 6]), (1, [7, 7]), (2, [end, end]), (3, [8])]
