@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from huntlake.llm.common import per_batch
+from huntlake.llm.common import per_batch, small_batches
 from huntlake.llm.recompression import STEP_A, STEP_B, mix
 
 #: Bits of a filter, 16 MB.
@@ -27,7 +27,8 @@ class KeyFilter:
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
 
         placed = keys.mapInArrow(per_batch(make, 1 << 16), "word long, mask long")
-        held = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        with small_batches(keys.sparkSession):
+            held = placed.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
         words = np.zeros(FILTER_BITS >> 6, np.int64)
         words[held.column("word").to_numpy()] = held.column("mask").to_numpy()
         self.sent = keys.sparkSession.sparkContext.broadcast(words.tobytes())
@@ -44,6 +45,15 @@ class KeyFilter:
         """Take the filter from driver and executors; what was made with it must be written by then."""
         self.sent.destroy()
 
+    def may_hold(self, *columns: Column | str) -> Column:
+        """Whether the hash of ``columns`` may be among the keys; the hashes alone go through Python."""
+
+        @F.arrow_udf("boolean")
+        def asked(keys: pa.Array) -> pa.Array:
+            return pa.array(self.has(keys.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+        return asked(F.xxhash64(*columns))
+
     def has(self, keys: np.ndarray) -> np.ndarray:
         words, found = np.frombuffer(self.sent.value, np.uint64), np.ones(len(keys), bool)
         for bits in self.bits_of(keys):

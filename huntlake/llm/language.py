@@ -209,13 +209,14 @@ def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> D
     Filters without a language accept nothing.
     """
     sent = docs.sparkSession.sparkContext.broadcast((filters.masks.tobytes(), filters.languages))
-    text_at = docs.columns.index("text")
 
-    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    # texts go to Python, and one bit for each comes back
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
         masks, languages = sent.value
-        known = Filters(np.frombuffer(masks, np.uint64), languages)
-        rates = known.false_rates
-        found = (known.predict(text.as_py(), rates) for text in batch.column(text_at))
-        yield batch.filter(pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_()))
+        filters = Filters(np.frombuffer(masks, np.uint64), languages)
+        rates = filters.false_rates
+        found = (filters.predict(text.as_py(), rates) for text in texts)
+        return pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_())
 
-    return docs.mapInArrow(per_batch(make), docs.schema)
+    return docs.where(known("text"))

@@ -22,6 +22,7 @@ tasks, so that no task gets all copies of one (``later``).
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, blo
 
 WIDTH = 13
 #: Words of a block, and of a part of a long document.
-BLOCK_WORDS = 1 << 16
+BLOCK_WORDS = 1 << 14
 #: Windows of a chunk, which four bits hold.
 MOST_WINDOWS = 15
 #: Places that a mark holds, in words.
@@ -196,6 +197,27 @@ def repeated_marks(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) ->
     return marks.groupBy("doc_id", F.shiftright("mark", 32).alias("tag")).agg(F.collect_set("mark").alias("marks"))
 
 
+def _kept(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
+    """(row, n_words, n_removed, kept) of a batch (row, text, marks)."""
+    total, removed, kept = [], [], []
+    for text, held in zip(text_bytes(batch.column(1)), batch.column(2)):
+        words = text.split()
+        held = held.values.to_numpy(zero_copy_only=False) if held.is_valid else np.zeros(0, np.int64)
+        held = held & 0xFFFFFFFF
+        total.append(len(words))
+        if len(held):
+            edges = np.bincount(held >> 4, minlength=len(words) + 1)
+            edges -= np.bincount((held >> 4) + (held & 15) + (width - 1), minlength=len(words) + 1)
+            stay = np.flatnonzero(np.cumsum(edges)[: len(words)] == 0)
+            words = [words[i] for i in stay.tolist()]
+        removed.append(total[-1] - len(words))
+        kept.append(b" ".join(words))
+    kept = pa.array(kept, pa.binary()).cast(pa.string())
+    yield pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), kept], ["row", "n_words", "n_removed", "kept"]
+    )
+
+
 def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
     """(row, n_words, n_removed, kept) of every row of ``docs`` (doc_id, text), its columns ``carry`` in ``row``.
 
@@ -209,31 +231,12 @@ def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: in
     marks = saved(repeated_marks(docs, width, rounds).withColumnRenamed("tag", "_tag"), "marks")
     marked = KeyFilter(marks.select(F.xxhash64("doc_id", "_tag")))
 
-    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        total, removed, kept = [], [], []
-        for text, held in zip(text_bytes(batch.column(1)), batch.column(2)):
-            words = text.split()
-            held = held.values.to_numpy(zero_copy_only=False) if held.is_valid else np.zeros(0, np.int64)
-            held = held & 0xFFFFFFFF
-            total.append(len(words))
-            if len(held):
-                edges = np.bincount(held >> 4, minlength=len(words) + 1)
-                edges -= np.bincount((held >> 4) + (held & 15) + (width - 1), minlength=len(words) + 1)
-                stay = np.flatnonzero(np.cumsum(edges)[: len(words)] == 0)
-                words = [words[i] for i in stay.tolist()]
-            removed.append(total[-1] - len(words))
-            kept.append(b" ".join(words))
-        kept = pa.array(kept, pa.binary()).cast(pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), kept], ["row", "n_words", "n_removed", "kept"]
-        )
-
     def touched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.select(columns).filter(pa.array(held(batch)))
 
     def untouched(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         left = batch.select(["row", "text"]).filter(pa.array(~held(batch)))
-        yield from make(left.append_column("marks", pa.nulls(left.num_rows, pa.list_(pa.int64()))))
+        yield from _kept(left.append_column("marks", pa.nulls(left.num_rows, pa.list_(pa.int64()))), width)
 
     def held(batch: pa.RecordBatch) -> np.ndarray:
         return marked.has(batch.column("hash").to_numpy(zero_copy_only=False).view(np.uint64))
@@ -254,7 +257,25 @@ def kept_words(docs: DataFrame, carry: list[str], width: int = WIDTH, rounds: in
     if "text" in carry:
         some = some.drop("text")
     joined = some.join(marks, same, "left").select("row", "row.text" if "text" in carry else "text", "marks")
-    return hashed.mapInArrow(per_batch(untouched), kinds).union(joined.mapInArrow(per_batch(make), kinds))
+    return hashed.mapInArrow(per_batch(untouched), kinds).union(joined.mapInArrow(per_batch(partial(_kept, width=width)), kinds))
+
+
+def without_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+    """(row, kept): the rows of ``docs`` (doc_id, text, ..), and what is left of texts that lose words; see ``kept_words``.
+
+    ``kept`` is NULL for a text that loses nothing, and one that loses all words is left out. Only texts that lose words, and a
+    few more, go through Python and a shuffle; of the others only hashes do.
+    """
+    marks = saved(repeated_marks(docs, width, rounds).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "marks"), "marks")
+    tag = F.expr("xxhash64(text) & 2147483647")
+    asked = KeyFilter(marks.select(F.xxhash64("_id", "_tag"))).may_hold(F.col("doc_id").cast("long"), tag)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), tag.alias("tag"), asked.alias("asked"))
+    some = rows.where("asked").join(marks, (F.col("id") == F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
+    kinds = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
+    found = some.select("row", F.col("row.text").cast("string").alias("text"), "marks").mapInArrow(per_batch(partial(_kept, width=width)), kinds)
+    found = found.where("n_removed = 0 or n_words > n_removed")
+    rest = rows.where(~F.col("asked")).select("row", F.lit(None).cast("string").alias("kept"))
+    return rest.union(found.select("row", F.when(F.col("n_removed") > 0, F.col("kept")).alias("kept")))
 
 
 def keep_unique(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:

@@ -9,6 +9,7 @@ from tables import documents
 
 import corpus_pipeline
 from huntlake.llm import tokens
+from huntlake.llm.common import ARROW_ROWS, SENT, saved
 
 
 def stage(name):
@@ -42,6 +43,26 @@ def test_passages_go_and_other_texts_stay_as_they_are(spark, folder):
     )
 
 
+@pytest.mark.parametrize("name, passes", [("language_id", 0), ("simhash_dedup", 0), ("substring_dedup", 1)])
+def test_rows_that_stay_do_not_go_through_python(spark, sf_dir, folder, plan, name, passes):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = plan(stage(name)(spark, docs, folder)).split("Initial Plan")[-1]
+    assert "ArrowEvalPython" in text and text.count("MapInArrow") == passes
+
+
+def test_texts_are_sent_to_python_in_small_batches(spark, folder, settings):
+    sizes = spark.sparkContext.accumulator(0)
+    before = spark.conf.get(ARROW_ROWS)
+
+    def seen(batches):
+        for batch in batches:
+            sizes.add(batch.num_rows > SENT)
+            yield batch
+
+    held = saved(spark.range(3 * SENT, numPartitions=1).mapInArrow(seen, "id long"), "batches")
+    assert held.count() == 3 * SENT and sizes.value == 0 and spark.conf.get(ARROW_ROWS) == before
+
+
 def test_benchmark_items_go(spark, folder):
     rows = [(1, "so ONE two three four five six seven eight nine ten"), (2, "one two three four other words here"), (3, None), (4, "")]
     kept = stage("decontamination")(spark, documents(spark, rows), folder)
