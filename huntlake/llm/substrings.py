@@ -166,7 +166,7 @@ def later(rows: DataFrame, keys: list[str], shared: DataFrame, label: str) -> Da
     spark = rows.sparkSession
     names = [name for name in rows.columns if name in (*keys, "doc_id", "mark")]
     with KeyFilter(shared.select(F.xxhash64(*keys))) as wanted:
-        some = saved(may_match(rows.select(names), keys, wanted), label)
+        some = saved(may_match(rows.select(names), keys, wanted), label, small=True)
     sizes = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), *keys).limit(FREQUENT)
     top = shared.join(F.broadcast(sizes), keys).select(shared.columns).collect()  # at most FREQUENT rows, as is the next
     frequent = F.broadcast(spark.createDataFrame(top, shared.schema))
@@ -184,13 +184,13 @@ def repeated_marks(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) ->
     # a key may be counted twice for one document; it is then compared and found to be in one only
     shared = anchor_rows(tagged, width, rounds).groupBy("key").count().where("count > 1")
     with KeyFilter(shared.select("key")) as wanted:
-        chunks = saved(chunk_rows(tagged, wanted, width, rounds), "chunks")
+        chunks = saved(chunk_rows(tagged, wanted, width, rounds), "chunks", small=True)
     groups = chunks.groupBy("key").agg(*ends, F.min("body").alias("low"), F.max("body").alias("high"))
     groups = saved(groups.where("least < most"), "groups")
     same = groups.where("low = high").select("key", "least")
     later_chunks = later(chunks, ["key"], same, "later-chunks")
     with KeyFilter(groups.where("low <> high").select("key")) as mixed:
-        windows = saved(window_rows(tagged, mixed, width, rounds), "windows")
+        windows = saved(window_rows(tagged, mixed, width, rounds), "windows", small=True)
     first = saved(windows.groupBy("a", "b").agg(*ends).where("least < most").drop("most"), "first")
     marks = later_chunks.unionByName(later(windows, ["a", "b"], first, "later-windows"))
     # by text as well as by id: an id may stand on very many rows

@@ -59,7 +59,7 @@ def test_texts_are_sent_to_python_in_small_batches(spark, folder, settings):
             sizes.add(batch.num_rows > SENT)
             yield batch
 
-    held = saved(spark.range(3 * SENT, numPartitions=1).mapInArrow(seen, "id long"), "batches")
+    held = saved(spark.range(3 * SENT, numPartitions=1).mapInArrow(seen, "id long"), "batches", small=True)
     assert held.count() == 3 * SENT and sizes.value == 0 and spark.conf.get(ARROW_ROWS) == before
 
 
