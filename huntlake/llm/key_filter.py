@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from huntlake.llm.common import per_batch, small_batches
 from huntlake.llm.recompression import STEP_A, STEP_B, mix
 
-#: Bits of a filter, 16 MB.
+#: Bits of a filter, 16 MB; a power of two.
 FILTER_BITS = 1 << 27
 
 
@@ -36,7 +36,7 @@ class KeyFilter:
     @staticmethod
     def bits_of(keys: np.ndarray) -> Iterator[np.ndarray]:
         for seed in (STEP_A, STEP_B, 1):
-            yield mix(keys ^ np.uint64(seed)) % np.uint64(FILTER_BITS)
+            yield mix(keys ^ np.uint64(seed)) & np.uint64(FILTER_BITS - 1)
 
     def __enter__(self) -> KeyFilter:
         return self

@@ -20,12 +20,23 @@ across the border of two documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import xxhash
 
 ROUNDS = 3
+#: Bytes of texts that are named together.
+NAMED_BYTES = 1 << 16
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+#: The bytes that ``bytes.split`` splits at, and masks of the first 0 to 8 bytes of eight.
+GAPS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Powers that are kept for the next block, at most.
+KEPT_POWERS = 1 << 16
 #: Odd multipliers and seeds of the hashes.
 STEP_A = 0x9E3779B97F4A7C15
 STEP_B = 0xC2B2AE3D27D4EB4F
@@ -45,8 +56,51 @@ def paired(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(STEP_A) + mix(right + np.uint64(STEP_B)))
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=np.uint64)
+def word_names(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a text, as ``bytes.split`` has them: a 64-bit hash and the first byte of each.
+
+    A word is read eight bytes at a time, each scrambled together with what came
+    before; words of one length up to eight have different names.
+    """
+    gap = GAPS.take(np.frombuffer(text + b" ", np.uint8))
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    if not gap[0]:
+        edges = np.concatenate([[0], edges])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eights = np.frombuffer(text + bytes(16 - len(text) % 8), "<u8")
+    names = mix(sizes.astype(np.uint64) * np.uint64(STEP_A))
+    at, left, which = starts, sizes, slice(None)
+    for _ in range(LONG_WORD // 8):
+        shift = (at & 7).astype(np.uint64) << np.uint64(3)
+        low, high = eights.take(at >> 3) >> shift, eights.take((at >> 3) + 1) << np.uint64(1) << (np.uint64(63) - shift)
+        names[which] = mix(names[which] ^ ((low | high) & FIRST_BYTES.take(np.minimum(left, 8))))
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        at, left = at.take(more) + 8, left.take(more) - 8
+        which = more if isinstance(which, slice) else which.take(more)
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        names[i] = xxhash.xxh64_intdigest(text[starts[i] : starts[i] + sizes[i]])
+    return names, starts
+
+
+def names_by_text(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """The names of the words of each text; short texts are named together."""
+
+    def named() -> Iterator[np.ndarray]:
+        names, starts = word_names(b" ".join(held))
+        bounds = np.searchsorted(starts, np.cumsum([0] + [len(text) + 1 for text in held])).tolist()
+        yield from (names[a:b] for a, b in zip(bounds, bounds[1:]))
+
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= NAMED_BYTES:
+            yield from named()
+            held, size = [], 0
+    if held:
+        yield from named()
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -55,19 +109,31 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - offsets, sizes)
 
 
+@lru_cache(maxsize=8)
+def _powers(step: int, size: int) -> np.ndarray:
+    """``step ** 0 .. step ** (size - 1)``, modulo ``1 << 64``."""
+    powers = np.full(size, step, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def powers(step: int, size: int) -> np.ndarray:
+    """The same for sizes that vary from block to block: a part of a kept array, or a new one if it is long."""
+    most = 1 << max(size - 1, 0).bit_length()
+    return (_powers if most <= KEPT_POWERS else _powers.__wrapped__)(step, most)[:size]
+
+
 class Spans:
     """Hashes of any span of the words of a block, by prefix sums of ``name * step ** place``."""
 
     def __init__(self, names: np.ndarray, step: int):
         n = len(names)
-        back = pow(step, -1, 1 << 64)
-        powers, self.back = np.full(n + 1, step, np.uint64), np.full(n + 1, back, np.uint64)
-        powers[0] = self.back[0] = 1
-        powers, self.back = np.cumprod(powers), np.cumprod(self.back)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(names) * powers[:n], dtype=np.uint64)])
+        self.back = powers(pow(step, -1, 1 << 64), n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(names) * powers(step, n), dtype=np.uint64, out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts])
+        return mix((self.sums.take(ends) - self.sums.take(starts)) * self.back.take(starts))
 
 
 @dataclass
@@ -83,8 +149,10 @@ class Symbols:
     def __len__(self) -> int:
         return len(self.name)
 
-    def take(self, where) -> Symbols:
-        return Symbols(*(part[where] for part in (self.name, self.start, self.end, self.first, self.last)))
+    def take(self, where: np.ndarray) -> Symbols:
+        """Those at the places ``where``, or where it is true."""
+        at = np.flatnonzero(where) if where.dtype == bool else where
+        return Symbols(*(part.take(at) for part in (self.name, self.start, self.end, self.first, self.last)))
 
 
 def name_runs(s: Symbols, words: np.ndarray, opens: np.ndarray, shuts: np.ndarray) -> Symbols:
@@ -98,25 +166,31 @@ def name_runs(s: Symbols, words: np.ndarray, opens: np.ndarray, shuts: np.ndarra
     """
     n = len(s)
     joined = np.zeros(n, bool)
-    joined[1:] = (s.name[1:] == s.name[:-1]) & (opens[s.start[1:]] == opens[s.start[:-1]])
+    again = np.flatnonzero(s.name[1:] == s.name[:-1]) + 1  # few
+    joined[again] = opens[s.start[again]] == opens[s.start[again - 1]]
     heads = np.flatnonzero(~joined)
     tails = np.append(heads[1:], n) - 1
     length = tails - heads + 1
-    out = Symbols(s.name[heads].copy(), s.start[heads], s.end[tails], s.first[heads].copy(), s.last[tails].copy())
-    long = length > 1
-    out.name[long] = paired(out.name[long], length[long].astype(np.uint64))
-
-    at_open = out.start == opens[out.start]
-    before = np.maximum(out.start - 1, 0)
-    told = words[before] != words[s.end[heads] - 1]
-    reach = np.where(told, before, s.first[np.maximum(heads - 1, 0)])
-    out.first = np.minimum(out.first, np.where(at_open, opens[out.start] - 1, reach))
-    at_shut = out.end == shuts[out.start]
-    after = np.minimum(out.end, len(words) - 1)
-    told = words[after] != words[s.start[tails]]
-    reach = np.where(told, after + 1, s.last[np.minimum(tails + 1, n - 1)])
-    out.last = np.maximum(out.last, np.where(at_shut, shuts[out.start] + 1, reach))
-    return out
+    name, start, end = s.name.take(heads), s.start.take(heads), s.end.take(tails)
+    long = np.flatnonzero(length > 1)
+    name[long] = paired(name[long], length[long].astype(np.uint64))
+
+    # a neighbour settles a border of a run only where a word does not
+    reach = np.maximum(start - 1, 0)
+    same = np.flatnonzero(words.take(reach) == words.take(s.end.take(heads) - 1))
+    reach[same] = s.first[np.maximum(heads[same] - 1, 0)]
+    borders = opens.take(start)
+    at_open = np.flatnonzero(start == borders)
+    reach[at_open] = borders[at_open] - 1
+    first = np.minimum(s.first.take(heads), reach)
+    reach = np.minimum(end, len(words) - 1)
+    same = np.flatnonzero(words.take(reach) == words.take(s.start.take(tails)))
+    reach += 1
+    reach[same] = s.last[np.minimum(tails[same] + 1, n - 1)]
+    borders = shuts.take(start)
+    at_shut = np.flatnonzero(end == borders)
+    reach[at_shut] = borders[at_shut] + 1
+    return Symbols(name, start, end, first, np.maximum(s.last.take(tails), reach))
 
 
 def name_pairs(s: Symbols, opens: np.ndarray, shuts: np.ndarray, turn: int) -> Symbols:
@@ -127,8 +201,8 @@ def name_pairs(s: Symbols, opens: np.ndarray, shuts: np.ndarray, turn: int) -> S
     """
     n = len(s)
     right = (mix(s.name + np.uint64(turn * STEP_B % (1 << 64))) & np.uint64(1)).astype(bool)
-    same = np.zeros(n, bool)
-    same[:-1] = opens[s.start[1:]] == opens[s.start[:-1]]
+    borders, same = opens.take(s.start), np.zeros(n, bool)
+    same[:-1] = borders[1:] == borders[:-1]
     opened = same & ~right
     opened[:-1] &= right[1:]
     closed = np.zeros(n, bool)
@@ -145,10 +219,10 @@ def name_pairs(s: Symbols, opens: np.ndarray, shuts: np.ndarray, turn: int) -> S
 
     heads = np.flatnonzero(opened)
     name, end = s.name.copy(), s.end.copy()
-    name[heads] = paired(s.name[heads], s.name[heads + 1])
-    end[heads] = s.end[heads + 1]
-    first[heads] = np.minimum(first[heads], first[heads + 1])
-    last[heads] = np.maximum(last[heads], last[heads + 1])
+    name[heads] = paired(s.name.take(heads), s.name.take(heads + 1))
+    end[heads] = s.end.take(heads + 1)
+    first[heads] = np.minimum(first.take(heads), first.take(heads + 1))
+    last[heads] = np.maximum(last.take(heads), last.take(heads + 1))
     return Symbols(name, s.start, end, first, last).take(~closed)
 
 
@@ -189,18 +263,19 @@ class Block:
         starts = np.flatnonzero(open_windows)
         for s in reversed(levels):
             # windows from low to high hold the whole context; keep symbols that an unsettled window can use
-            s = s.take((s.first >= opens[s.start]) & (s.last <= shuts[s.start]) & (s.last - s.first <= width))
-            low = np.maximum(s.last - width, opens[s.start])
+            opened = opens.take(s.start)
+            inside = np.flatnonzero((s.first >= opened) & (s.last <= shuts.take(s.start)) & (s.last - s.first <= width))
+            low = np.maximum(s.last.take(inside) - width, opened.take(inside))
             unsettled = np.concatenate([[0], np.cumsum(open_windows)])
-            keep = unsettled[s.first + 1] > unsettled[low]
-            s, low = s.take(keep), low[keep]
+            keep = np.flatnonzero(unsettled.take(s.first.take(inside) + 1) > unsettled.take(low))
+            s, low = s.take(inside.take(keep)), low.take(keep)
             if not len(s):
                 continue
             # all windows a symbol can serve, symbols by rank, so that the highest is the last to be set
             order = np.argsort(mix(s.name), kind="stable")
-            width_of = (s.first - low + 1)[order]
+            width_of = (s.first - low + 1).take(order)
             chosen = np.full(n, -1, np.int64)
-            chosen[ranges(low[order], width_of)] = np.repeat(order, width_of)
+            chosen[ranges(low.take(order), width_of)] = np.repeat(order, width_of)
             settled = np.flatnonzero(open_windows & (chosen >= 0))
             pick = chosen[settled]
             body = spans.of(s.first[pick], s.last[pick])
@@ -211,8 +286,12 @@ class Block:
         return starts, key[starts]
 
 
+def block_of_names(texts: list[np.ndarray]) -> Block:
+    """The block of documents given as the names of their words."""
+    bounds = np.concatenate([[0], np.cumsum([len(names) for names in texts])]).astype(np.int64)
+    return Block(np.concatenate([np.zeros(0, np.uint64), *texts]), bounds)
+
+
 def block_of(texts: list[list[bytes]]) -> Block:
     """The block of documents given as lists of words."""
-    bounds = np.concatenate([[0], np.cumsum([len(words) for words in texts])]).astype(np.int64)
-    names = word_names([word for words in texts for word in words])
-    return Block(names, bounds)
+    return block_of_names(list(names_by_text(b" ".join(words) for words in texts)))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from huntlake.llm.common import per_batch, saved, text_bytes
 from huntlake.llm.key_filter import KeyFilter
-from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of
+from huntlake.llm.recompression import ROUNDS, STEP_A, STEP_B, Block, Spans, block_of_names, names_by_text
 
 WIDTH = 13
 #: Words of a block, and of a part of a long document.
@@ -51,27 +51,40 @@ def blocks(texts: Iterable[bytes], width: int) -> Iterator[tuple[list[tuple[int,
     window is in one part, and its anchor is the same there.
     """
     where, held, size = [], [], 0
-    for row, text in enumerate(texts):
-        words = text.split()
+    for row, words in enumerate(names_by_text(texts)):
         for at in range(0, max(len(words) - width + 1, 0), BLOCK_WORDS):
             part = words[at : at + BLOCK_WORDS + width - 1]
             where.append((row, at))
             held.append(part)
             size += len(part)
             if size >= BLOCK_WORDS:
-                yield where, block_of(held)
+                yield where, block_of_names(held)
                 where, held, size = [], [], 0
     if held:
-        yield where, block_of(held)
+        yield where, block_of_names(held)
 
 
 def _rows_of(starts: np.ndarray, block: Block, where: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """The row and the place in its document of each window."""
-    part = np.searchsorted(block.bounds, starts, side="right") - 1
+    windows = np.diff(np.searchsorted(starts, block.bounds))
+    part = np.repeat(np.arange(len(windows)), windows)
     rows, offsets = np.array(where, np.int64).T
     return rows[part], starts - block.bounds[part] + offsets[part]
 
 
+def _fresh(*columns: np.ndarray) -> np.ndarray:
+    """Where one of the columns differs from the row before."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.logical_or.reduce([column[1:] != column[:-1] for column in columns])
+    return fresh
+
+
+def _wanted(keys: np.ndarray, wanted: KeyFilter) -> np.ndarray:
+    """Whether each key may be a wanted one; neighbours that share a key ask once."""
+    fresh = _fresh(keys)
+    return wanted.has(keys[fresh])[np.cumsum(fresh) - 1]
+
+
 def _anchored(batch: pa.RecordBatch, width: int, rounds: int):
     """For each block of a batch with (doc_id, text, ..): block, first words, keys, rows and places of its windows."""
     for where, block in blocks(text_bytes(batch.column(1)), width):
@@ -84,8 +97,10 @@ def anchor_rows(docs: DataFrame, width: int, rounds: int) -> DataFrame:
     """(key) of the anchors of all windows, each key once per document and block."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, starts, keys, rows, _ in _anchored(batch, width, rounds):
-            fresh = np.ones(len(starts), bool)
+        for _, _, keys, rows, _ in _anchored(batch, width, rounds):
+            fresh = _fresh(keys, rows)
+            keys, rows = keys[fresh], rows[fresh]
+            fresh = np.ones(len(keys), bool)
             order = np.lexsort((keys, rows))
             fresh[order[1:]] = (np.diff(keys[order]) != 0) | (np.diff(rows[order]) != 0)
             yield pa.RecordBatch.from_arrays([pa.array(keys[fresh].view(np.int64))], ["key"])
@@ -107,7 +122,7 @@ def chunk_rows(docs: DataFrame, wanted: KeyFilter, width: int, rounds: int) -> D
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         tags = batch.column(2).to_numpy(zero_copy_only=False)
         for block, starts, keys, rows, places in _anchored(batch, width, rounds):
-            hot = wanted.has(keys)
+            hot = _wanted(keys, wanted)
             starts, keys, rows, places = starts[hot], keys[hot], rows[hot], places[hot]
             if not len(starts):
                 continue
@@ -134,8 +149,10 @@ def window_rows(docs: DataFrame, wanted: KeyFilter, width: int, rounds: int) ->
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         tags = batch.column(2).to_numpy(zero_copy_only=False)
         for block, starts, keys, rows, places in _anchored(batch, width, rounds):
-            hot = wanted.has(keys)
+            hot = _wanted(keys, wanted)
             starts, rows, places = starts[hot], rows[hot], places[hot]
+            if not len(starts):
+                continue
             a, b = (Spans(block.names, step).of(starts, starts + width).view(np.int64) for step in (STEP_A, STEP_B))
             marks = _marks(tags[rows], places, np.ones(len(rows), np.int64))
             yield pa.RecordBatch.from_arrays(

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from tables import documents, random_texts
 
-from huntlake.llm import substrings
+from huntlake.llm import recompression, substrings
 from huntlake.llm.recompression import block_of
 
 
@@ -42,6 +42,28 @@ def test_equal_windows_have_equal_anchors(vocabulary):
         assert seen.setdefault(tuple(words[start : start + 13]), key) == key
 
 
+def test_words_are_named_as_split_has_them_and_without_a_call_each(monkeypatch):
+    draw = np.random.default_rng(5)
+    letters = np.frombuffer(b"ab\x00\xff\xc2\xa0\x1c\x1f\x85 \t\n\r\x0b\x0c", np.uint8)
+    texts = [draw.choice(letters, size).tobytes() for size in [0, 1, 2, *range(3, 200)]]
+    texts += [b"", b" \n ", b"a", b" a", b"a ", b"a\x00", b"x" * 255, b"x" * 256, b"y" * 7 + b" " + b"y" * 8 + b" " + b"y" * 9]
+    longer = [b"x" * 257, b"x" * 256 + b"y", b"z" * 100_000 + b" a " + b"z" * 99_999]
+    names = {}
+    for held, whole in ((texts + longer, False), (texts, True)):
+        if whole:  # one hash call for each word took a third of the pass
+            for name in ("xxh64_digest", "xxh64_intdigest"):
+                monkeypatch.setattr(recompression.xxhash, name, None)
+        for text, found in zip(held, recompression.names_by_text(held), strict=True):
+            words = text.split()
+            assert len(words) == len(found)
+            for word, name in zip(words, found.tolist()):
+                assert names.setdefault(word, name) == name
+    assert len(set(names.values())) == len(names)
+    where, block = next(substrings.blocks(texts, 13))
+    assert len(block.names) == sum(len(text.split()) for text in texts if len(text.split()) >= 13)
+    assert [row for row, _ in where] == [row for row, text in enumerate(texts) if len(text.split()) >= 13]
+
+
 @pytest.mark.parametrize("seed, vocabulary", [(1, 2), (2, 6), (3, 60)])
 def test_removal_is_exact(spark, seed, vocabulary):
     rows = list(enumerate(random_texts(seed, 40, vocabulary, 90)))
