@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from huntlake.llm.common import per_batch
+from huntlake.llm.common import per_batch, saved, small_batches
+from huntlake.llm.key_filter import KeyFilter
 
 GRAM = 4
 HASHES = 3
@@ -146,14 +147,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, slots: int = SLOTS, share: fl
                     ["bit", "gram", "count"],
                 )
 
-    grams = (
-        chosen.select("bit", "text")
-        .mapInArrow(per_batch(count), "bit int, gram long, count long")
-        .groupBy("bit", "gram")
-        .agg(F.sum("count").alias("count"))
-        .persist()
-    )
-    totals = {row["bit"]: row["total"] for row in grams.groupBy("bit").agg(F.sum("count").alias("total")).collect()}
+    with small_batches(spark):
+        grams = (
+            chosen.select("bit", "text")
+            .mapInArrow(per_batch(count), "bit int, gram long, count long")
+            .groupBy("bit", "gram")
+            .agg(F.sum("count").alias("count"))
+            .persist()
+        )
+        totals = {row["bit"]: row["total"] for row in grams.groupBy("bit").agg(F.sum("count").alias("total")).collect()}
     per_language = [
         F.sum(F.when(F.col("bit") == bit, F.col("count") / totals.get(bit, 1)).otherwise(0.0)).alias(f"rate_{bit}")
         for bit in range(len(languages))
@@ -206,17 +208,23 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
 def accepted(docs: DataFrame, filters: Filters, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs`` with a language: not ``und``, and at least ``least`` of the n-grams known.
 
-    Filters without a language accept nothing.
+    Filters without a language accept nothing. Texts go to Python in small
+    batches, to find the rejected ones; the rows themselves do not.
     """
     sent = docs.sparkSession.sparkContext.broadcast((filters.masks.tobytes(), filters.languages))
 
-    # texts go to Python, and one bit for each comes back
-    @F.arrow_udf("boolean")
-    def known(texts: pa.Array) -> pa.Array:
+    def rejected(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         masks, languages = sent.value
-        filters = Filters(np.frombuffer(masks, np.uint64), languages)
-        rates = filters.false_rates
-        found = (filters.predict(text.as_py(), rates) for text in texts)
-        return pa.array([name != UNKNOWN and score >= least for name, score in found], pa.bool_())
-
-    return docs.where(known("text"))
+        known = Filters(np.frombuffer(masks, np.uint64), languages)
+        rates = known.false_rates
+        found = (known.predict(text.as_py(), rates) for text in batch.column(2))
+        gone = pa.array([name == UNKNOWN or score < least for name, score in found], pa.bool_())
+        yield batch.select(["_id", "_tag"]).filter(gone)
+
+    own, tag = F.col("doc_id").cast("long"), F.xxhash64("text")
+    rows = docs.select(own.alias("_id"), tag.alias("_tag"), "text")
+    gone = saved(rows.mapInArrow(per_batch(rejected), "_id long, _tag long").distinct(), "rejected", small=True)
+    asked = KeyFilter(gone.select(F.xxhash64("_id", "_tag"))).may_hold(own, tag)
+    same = own.eqNullSafe(F.col("_id")) & (tag == F.col("_tag"))
+    # only texts that go, and a few more, are moved
+    return docs.where(~asked).union(docs.where(asked).join(gone, same, "left_anti"))

@@ -90,7 +90,7 @@ def pack(
     other. Other columns are not read.
     """
     spark = docs.sparkSession
-    cut = saved(pieces(docs, capacity, vocabulary, keep_ids), "pieces")
+    cut = saved(pieces(docs, capacity, vocabulary, keep_ids), "pieces", small=True)
     cut = cut.withColumn("size", F.expr(f"(length + {unit - 1}) div {unit}"))
     histogram = {row["size"]: row["count"] for row in cut.groupBy("size").count().collect()}
     slots = spark.createDataFrame(

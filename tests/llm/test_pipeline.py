@@ -8,7 +8,7 @@ import pytest
 from tables import documents
 
 import corpus_pipeline
-from huntlake.llm import tokens
+from huntlake.llm import language, packing, tokens
 from huntlake.llm.common import ARROW_ROWS, SENT, saved
 
 
@@ -63,6 +63,30 @@ def test_texts_are_sent_to_python_in_small_batches(spark, folder, settings):
     assert held.count() == 3 * SENT and sizes.value == 0 and spark.conf.get(ARROW_ROWS) == before
 
 
+@pytest.mark.parametrize("name", ["language_id", "packing"])
+def test_a_stage_sends_few_texts_at_once(spark, folder, plan, monkeypatch, name):
+    asked, large = (spark.sparkContext.accumulator(0) for _ in range(2))
+    for module in (language, packing):
+
+        def watched(make, *rows, real=module.per_batch):
+            def seen(batches):
+                for batch in batches:
+                    asked.add("text" in batch.schema.names)
+                    large.add("text" in batch.schema.names and batch.num_rows > SENT)
+                    yield batch
+
+            return lambda batches: real(make, *rows)(seen(batches))
+
+        monkeypatch.setattr(module, "per_batch", watched)
+    rows = [(i, f"some words of text {i}" if i % 7 else "12", "en") for i in range(3 * SENT)]
+    docs = documents(spark, rows).coalesce(1)
+    got = stage(name)(spark, docs, folder)
+    assert got.count() == sum(1 for i, *_ in rows if i % 7 or name == "packing")
+    assert asked.value > 0 and large.value == 0
+    # what is planned for the caller sends hashes
+    assert all("(xxhash64(" in line for line in plan(got).splitlines() if "ArrowEvalPython" in line)
+
+
 def test_benchmark_items_go(spark, folder):
     rows = [(1, "so ONE two three four five six seven eight nine ten"), (2, "one two three four other words here"), (3, None), (4, "")]
     kept = stage("decontamination")(spark, documents(spark, rows), folder)
