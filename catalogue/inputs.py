@@ -180,9 +180,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*_nested(_event_fields()))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-like messages: the payload as JSON bytes, some malformed, some empty."""
+def messages(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Kafka-like messages: the payload as JSON bytes, some malformed, some empty.
+
+    With ``parts``, events are dealt into so many parts before their JSON is made.
+    """
     source = table(spark, sf_dir, "events")
+    source = source.repartition(parts) if parts else source
     value = (
         F.when(F.col("value") > EMPTY_ABOVE, None)
         .when(F.col("value") < MALFORMED_BELOW, F.lit(MALFORMED_TEXT))

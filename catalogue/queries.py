@@ -7,7 +7,7 @@ reduced to a flag. Queries that write use a fresh folder under the shared one.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +19,15 @@ from huntlake.functions.names import field
 from huntlake.operators import cim, enrich, file_index, hunts, ingest, layout, shape, sketches
 from huntlake.plans import certificates, events, refresh, rules
 from huntlake.sinks import cleanup, replace, tables
-from huntlake.sinks.shared import fresh_folder
+from huntlake.sinks.shared import fresh_folder, in_parallel
 from huntlake.sources import drift, files, payload, seen
 from huntlake.streaming.append import stream_tables, stream_to_table
 from huntlake.streaming.fanout import BATCH, fan_out
 from huntlake.streaming.ledger import compact_ledger_table, ledger_fan_out, read_ledger_table
 
 NAMESPACE = "huntlake_checks"
+# Files of a stream's input follow its size, so that a batch is read by many tasks.
+MESSAGES_PER_FILE = 100_000
 MESSAGE_SCHEMA = "value binary, topic string, partition int, offset bigint"
 SILVER_TABLES = (*(route.table for route in rules.ROUTES), events.WIDE_TABLE)
 
@@ -615,15 +617,20 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_fanout_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fan-out behind a ledger, in several batches, with every table compacted and Z-ordered in between and at the end."""
     root = fresh_folder(spark, "stream_fanout_compacted")
-    messages = inputs.messages(spark, sf_dir)
+    # each half is three shares of files, of which a batch takes two
+    share = -(-inputs.table(spark, sf_dir, "events").count() // (6 * MESSAGES_PER_FILE)) or 1
+    messages = inputs.messages(spark, sf_dir, 3 * share)
     schema = inputs.payload_schema(spark, sf_dir)
     for half in (0, 1):
-        messages.where(F.col("offset") % 2 == half).repartition(3).write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        messages.where(F.col("offset") % 2 == half).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 2 * share).parquet(f"{root}/in")
         bronze = events.bronze_events(stream, schema, keep_raw=False, corrupt="drop")
         ledger_fan_out(bronze, events.silver_tables, f"{root}/tables", "compacted", checkpoint_root=root).awaitTermination()
-        for table in SILVER_TABLES:
-            compact_ledger_table(spark, f"{root}/tables", table, columns=events.CLUSTER_COLUMNS[table])
+        compactions = (
+            partial(compact_ledger_table, spark, f"{root}/tables", table, columns=events.CLUSTER_COLUMNS[table])
+            for table in SILVER_TABLES
+        )
+        in_parallel(spark, compactions)
     return silver_digest({table: read_ledger_table(spark, f"{root}/tables", table) for table in SILVER_TABLES})
 
 

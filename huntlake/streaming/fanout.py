@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from huntlake.sinks.growth import create_table, fit_to_table
-from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
+from huntlake.sinks.shared import PARALLEL_WRITES, filled, in_parallel
 from huntlake.streaming.append import AVAILABLE_NOW, checkpoint_path
 
 BATCH = "_batch"
@@ -30,7 +30,7 @@ def fan_out(
 ) -> StreamingQuery:
     """Start a stream that writes every frame of ``tables(stream)`` to its own table.
 
-    A micro-batch is read and decoded once, kept for the duration of its writes
+    A micro-batch is read and decoded once, before its writes, kept for the duration of its writes
     (``at_once`` at a time) and then released. Each write replaces the table partitions of its own batch
     (column ``_batch``), so a batch that is run again after a failure leaves its
     rows once in every table. A table takes up columns that it does not have
@@ -56,7 +56,7 @@ def fan_out(
             marked = frame.withColumn(BATCH, F.lit(f"{query_id}-{batch_id}"))
             fit_to_table(marked, table).write.insertInto(table, overwrite=True)
 
-        with shared(batch) as events:
+        with filled(batch) as events:
             in_parallel(session, (partial(replace, *item) for item in tables(events).items()), at_once)
 
     return (

@@ -12,6 +12,7 @@ no reader: a batch that fails leaves nothing, and one that is run again after
 its commit does nothing. A compaction merges the partitions that many batches
 have written and replaces them in one commit. It only replaces what it has read,
 so a stream may go on meanwhile; two compactions of one table may not overlap.
+Those of several tables may run side by side; one driver commits them in turn.
 
 Readers plan with what the ledger names at that moment. Files stay where they
 are until ``remove_unreferenced`` deletes those that the ledger no longer names.
@@ -23,6 +24,7 @@ import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from functools import partial, reduce
+from threading import Lock
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -34,7 +36,7 @@ from huntlake.functions.names import field
 from huntlake.operators.layout import zorder
 from huntlake.sinks.cleanup import path_exists
 from huntlake.sinks.growth import merged_type, nullable
-from huntlake.sinks.shared import PARALLEL_WRITES, in_parallel, shared
+from huntlake.sinks.shared import PARALLEL_WRITES, filled, in_parallel
 from huntlake.streaming.append import AVAILABLE_NOW, checkpoint_path
 from huntlake.streaming.fanout import QUERY_ID_PROPERTY
 
@@ -44,6 +46,8 @@ ENTRY = (
     "rows long, columns string, at timestamp"
 )
 ADD, REPLACE, DONE = "add", "replace", "done"
+# Jobs that write to one folder side by side remove each other's temporary files.
+COMMITTING = Lock()
 
 
 def ledger_entries(spark: SparkSession, root: str) -> DataFrame:
@@ -121,7 +125,9 @@ def commit(spark: SparkSession, root: str, entries: Sequence[Row], query: str |
     name = uuid.uuid4().hex
     rows = [(name, query, batch, e.table, e.action, e.folder, e.partition, e.rows, e.columns) for e in entries]
     kinds = ENTRY.rsplit(",", 1)[0]
-    spark.createDataFrame(rows, kinds).withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{root}/_ledger")
+    frame = spark.createDataFrame(rows, kinds).withColumn("at", F.current_timestamp()).coalesce(1)
+    with COMMITTING:
+        frame.write.mode("append").parquet(f"{root}/_ledger")
 
 
 def committed(spark: SparkSession, root: str, query: str, batch: int) -> bool:
@@ -171,7 +177,7 @@ def ledger_fan_out(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID_PROPERTY)
-        with shared(batch) as events:
+        with filled(batch) as events:
             write_batch(tables(events), root, query, batch_id, partition_by, at_once)
 
     return (

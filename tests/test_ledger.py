@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
 from huntlake.sinks.cleanup import remove_unreferenced, unreferenced_files
+from huntlake.sinks.shared import in_parallel
 from huntlake.streaming import ledger
+from huntlake.streaming.fanout import fan_out
 
 
 def frame(spark, low, high, day="2024-01-01"):
@@ -115,6 +119,34 @@ def test_no_partitions_no_rows_and_no_table(spark, tmp_path):
     assert ledger.compact_ledger_table(spark, root, "t", []) == 1 and ids(spark, root) == [0, 0, 1]
 
 
+def test_commits_side_by_side_are_all_there(spark, tmp_path):
+    root, names = str(tmp_path), [f"t{at}" for at in range(8)]
+    for batch in range(2):
+        ledger.write_batch({name: frame(spark, batch, batch + 1) for name in names}, root, "q", batch)
+    in_parallel(spark, [partial(ledger.compact_ledger_table, spark, root, name) for name in names], 8)
+    assert [partitions(spark, root, name) for name in names] == [1] * 8
+    entries = [[ledger._entry(name, ledger.ADD, "f", "p", 1)] for name in names for _ in range(3)]
+    in_parallel(spark, [partial(ledger.commit, spark, root, entry) for entry in entries], 8)
+    assert ledger.ledger_entries(spark, root).where("folder = 'f'").count() == len(entries)
+
+
+def test_a_batch_is_there_before_its_writes_begin(spark, tmp_path):
+    filled = []
+
+    def tables(events):
+        if not events.isStreaming:
+            held = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+            filled.append(any(info.numCachedPartitions() == info.numPartitions() for info in held))
+        return {"t": events}
+
+    frame(spark, 0, 10).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long, _event_date date").parquet(str(tmp_path / "in"))
+    ledger.ledger_fan_out(stream, tables, str(tmp_path / "t"), "fill", checkpoint_root=str(tmp_path / "c")).awaitTermination()
+    spark.sql("create database if not exists unit_fill")
+    fan_out(stream, tables, "unit_fill", "fill2", checkpoint_root=str(tmp_path / "c"), path=str(tmp_path / "u")).awaitTermination()
+    assert filled == [True, True]
+
+
 def test_a_stream_resumes_after_a_batch_that_failed_in_one_table(spark, tmp_path):
     root = str(tmp_path / "tables")
     armed = {"broken": False}
